@@ -7,11 +7,37 @@ again as the next one's docs. All but the last return the columns of documents.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from orbitframe.llm import bpe, common, exact_dedup, mixing
+from orbitframe.llm import bpe, common, exact_dedup, mixing, near_join, toxicity
 
-STAGES: list = []
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine doesn't call toxic."""
+    return toxicity.clean_rows(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return exact_dedup.without_copies(spark, docs)
+
+
+def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return near_join.one_of_each(spark, docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_rows(spark, docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of every document, with digests of its ids and of their decoded text."""
+    return bpe.encode(spark, docs, public_tokenizers.path("word_bpe_49k.json"), digest=True)
+
+
+STAGES = [("toxicity", clean), ("exact_dedup", distinct), ("near_join", apart), ("mixing", mixed), ("bpe", encoded)]
 
 #: Hash functions, a trained model and tokenizers: not to be expressed in SQL.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, mixing, token_counts
+from . import bpe, exact_dedup, licences, mixing, near_join, nearest, secrets, token_counts, token_files, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,14 +29,48 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, _documents(spark, sf_dir))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text."""
+    return toxicity.toxicity(spark, _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes every text's ids as files and reads them back."""
+    return token_files.token_files(spark, _documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return near_join.jaccard_join(spark, _documents(spark, sf_dir))
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of each query vector."""
+    return nearest.nearest(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text."""
+    return secrets.digest(secrets.scan(spark, _documents(spark, sf_dir)))
+
+
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every whole text."""
+    return licences.licences(spark, _documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row that stays for every document."""
     return exact_dedup.exact_dedup(spark, _documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_bpe, op3_mixing, op7_exact_dedup)
-}
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_bpe, op3_mixing, op4_toxicity, op5_token_files,
+        op6_near_join, op7_exact_dedup, op8_nearest, op9_secrets, op10_licences,
+    )
+}
 
 ORACLES: dict[str, str] = {
     "op7_exact_dedup": r"""
