@@ -1,4 +1,34 @@
-"""Queries over the driver tables and their DuckDB oracles."""
+"""Queries over the driver tables, one per operator, with their DuckDB oracles.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+The driver tables hold no rasters, so each operator runs on a table of the same shape:
+events are observations of pixels (user_id), lineitem's part and supplier keys are pixel
+places, orders are scenes, customers and suppliers are boxes, embeddings are vectors.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    """Registers a query under its function's name, with its oracle where SQL has one."""
+
+    def register(function):
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLES[function.__name__] = sql
+        return function
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+from . import grid_queries, scene_queries, series_queries  # noqa: E402, F401  they register themselves
