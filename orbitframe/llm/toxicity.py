@@ -1,4 +1,4 @@
-"""Toxicity by a factorization machine over hashed terms.
+"""Toxicity by a factorization machine over hashed terms: words and beginnings of words.
 
 The score of a text is a logistic of a bias, a weight for each hashed term it holds and,
 for each pair of its terms, the product of their factor vectors: pairs such as an insult
@@ -31,9 +31,12 @@ from .common import clean_text
 #: Bound of the rows the machine is fitted on.
 TRAIN_ROWS = 16_000
 BUCKETS = 1 << 18
-#: A term bucket takes part if this many training rows hold it.
-MIN_ROWS = 5
-FACTORS, EPOCHS, BATCH, RATE, SHRINK = 4, 12, 256, 0.1, 2e-4
+#: Characters of a word's beginnings that are terms beside the word, as insults are inflected.
+STEMS = (4, 5)
+#: A term bucket takes part if MIN_ROWS training rows hold it and either its share of label 1
+#: differs (a chi-squared of MIN_CHI) or COMMON of all rows hold it: the partners of pairs.
+MIN_ROWS, MIN_CHI, COMMON = 5, 8.0, 0.01
+FACTORS, EPOCHS, BATCH, RATE, SHRINK = 4, 12, 256, 0.2, 2e-4
 #: Entries of a worker's cache of terms; a full cache starts anew.
 CACHE_ENTRIES = 400_000
 _TERM = re.compile(r"\w+").findall
@@ -43,11 +46,16 @@ def bucket(term: str) -> int:
     return zlib.crc32(term.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
 
 
-def terms(text: str) -> set[str]:
+def words(text: str) -> set[str]:
     """Distinct lower-case words of a whole text."""
     return set(_TERM(text.lower()))
 
 
+def buckets(word: str) -> list[int]:
+    """Buckets of a word and of its beginnings."""
+    return [bucket(word), *(bucket(f"{word[:n]}*") for n in STEMS if len(word) > n)]
+
+
 @dataclass
 class Machine:
     """bias, and for each term bucket in `index` (else -1) a row of weights and factors."""
@@ -88,10 +96,12 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> Machine:
     index = np.full(BUCKETS, -1, np.int64)
     if not len(rows):
         return Machine(-np.inf, index, np.zeros(0), np.zeros((0, FACTORS)))
-    support = np.bincount(np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64), minlength=BUCKETS)
-    used = np.flatnonzero(support >= MIN_ROWS)
-    index[used] = np.arange(len(used))
+    count = lambda some: np.bincount(np.concatenate([*some, np.zeros(0, np.int64)]).astype(np.int64), minlength=BUCKETS)
+    support, ones = count(rows), count([r for r, y in zip(rows, labels) if y])
     share = (labels.sum() + 0.5) / (len(labels) + 1)
+    apart = (ones - support * share) ** 2 / np.maximum(support * share * (1 - share), 1e-9)
+    used = np.flatnonzero((support >= MIN_ROWS) & ((apart >= MIN_CHI) | (support >= COMMON * len(rows))))
+    index[used] = np.arange(len(used))
     rng = np.random.default_rng(seed)
     model = Machine(float(np.log(share / (1 - share))), index, np.zeros(len(used)), rng.normal(0, 0.01, (len(used), FACTORS)))
     if not len(used) or labels.min() == labels.max():
@@ -142,7 +152,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = T
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted({bucket(t) for t in terms(x)}) for x in batch.column("_of_text").to_pylist()]
+            found = [sorted({b for w in words(x) for b in buckets(w)}) for x in batch.column("_of_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_of_y"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "_of_y", "found"])
 
     texts = docs.select("doc_id", clean_text().alias("_of_text")).join(F.broadcast(known), "doc_id")
@@ -162,14 +172,14 @@ class Scorer:
     def scores(self, texts: list[str]) -> np.ndarray:
         rows, places = [], self.places
         for text in texts:
-            held = terms(text)
+            held = words(text)
             if len(places) > CACHE_ENTRIES:
                 places.clear()
-            for term in held:
-                if term not in places:
-                    places[term] = int(self.machine.index[bucket(term)])
-            row = set(map(places.__getitem__, held))
-            row.discard(-1)
+            for word in held:
+                if word not in places:
+                    at = self.machine.index[buckets(word)]
+                    places[word] = tuple(at[at >= 0].tolist())
+            row = set().union(*map(places.__getitem__, held))
             rows.append(np.fromiter(sorted(row), np.int64, len(row)))
         return self.machine.scores(rows)
 
