@@ -115,16 +115,21 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str)
     return rows.join(F.broadcast(hot), keys).select(rest.columns).unionByName(rest)
 
 
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """docs as one struct column _of_doc, so no extra column can clash, beside copies of columns as _of_<name>."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_of_doc"), *[F.col(c).alias(f"_of_{c}") for c in columns])
+
+
 def drop_ids(spark: SparkSession, docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """docs without the rows whose doc_id is in dropped (doc_id).
 
     A bounded bitmap filter lets nearly all other rows pass where they are; only rows
     that it may hold are shuffled and compared exactly. Rows of null doc_id stay.
     """
-    dropped = written(spark, dropped.select(F.col("doc_id").alias("_of_id")).filter("_of_id is not null").distinct(), "dropped")
+    dropped = written(spark, dropped.select(F.col("doc_id").alias("_of_gone")).filter("_of_gone is not null").distinct(), "dropped")
     bits = filter_bits(dropped.count())
-    bitmaps = bitmap_filter(dropped.select(F.xxhash64("_of_id").alias("_of_h")), "_of_h", bits)
-    marked = with_maybe(docs.withColumn("_of_h", F.xxhash64("doc_id")), "_of_h", bits, bitmaps)
-    sure = marked.filter(~F.col("_of_maybe")).select(docs.columns)
-    rest = marked.filter("_of_maybe").join(dropped, F.col("doc_id") == F.col("_of_id"), "left_anti").select(docs.columns)
+    bitmaps = bitmap_filter(dropped.select(F.xxhash64("_of_gone").alias("_of_h")), "_of_h", bits)
+    marked = with_maybe(packed(docs, "doc_id").withColumn("_of_h", F.xxhash64("_of_doc_id")), "_of_h", bits, bitmaps)
+    sure = marked.filter(~F.col("_of_maybe")).select("_of_doc.*")
+    rest = marked.filter("_of_maybe").join(dropped, F.col("_of_doc_id") == F.col("_of_gone"), "left_anti").select("_of_doc.*")
     return sure.unionByName(rest)

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import bitmap_filter, clean_text, filter_bits, join_groups, with_maybe, written
+from .common import bitmap_filter, clean_text, filter_bits, join_groups, packed, with_maybe, written
 
 
 def normalised(column: Column) -> Column:
@@ -62,12 +62,11 @@ def without_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     decided = written(spark, decided, "decided")
     bits = filter_bits(decided.count())
     bitmaps = bitmap_filter(decided.select(F.xxhash64("_of_id").alias("_of_h")), "_of_h", bits)
-    marked = with_maybe(docs.withColumn("_of_h", F.xxhash64("doc_id")), "_of_h", bits, bitmaps)
-    sure = marked.filter(~F.col("_of_maybe")).select(docs.columns)
-    rest = marked.filter("_of_maybe").withColumn("_of_doc_sha", F.sha2(normalised(clean_text()).cast("binary"), 256))
-    same = F.col("doc_id").eqNullSafe(F.col("_of_id")) & (F.col("_of_doc_sha") == F.col("_of_sha"))
+    marked = with_maybe(packed(docs, "doc_id", "text").withColumn("_of_h", F.xxhash64("_of_doc_id")), "_of_h", bits, bitmaps)
+    sure = marked.filter(~F.col("_of_maybe")).select("_of_doc.*")
+    rest = marked.filter("_of_maybe").withColumn("_of_doc_sha", F.sha2(normalised(clean_text("_of_text")).cast("binary"), 256))
+    same = F.col("_of_doc_id").eqNullSafe(F.col("_of_id")) & (F.col("_of_doc_sha") == F.col("_of_sha"))
     rest = rest.join(decided, same, "left").filter(F.coalesce(F.col("_of_kept"), F.lit(True)))
-    once = rest.filter(F.coalesce(F.col("_of_n"), F.lit(1)) == 1).select(docs.columns)
-    first = [F.first(F.struct(*docs.columns)).alias("_of_row")]
-    several = rest.filter(F.col("_of_n") > 1).groupBy("_of_id", "_of_sha").agg(*first).select("_of_row.*")
+    once = rest.filter(F.coalesce(F.col("_of_n"), F.lit(1)) == 1).select("_of_doc.*")
+    several = rest.filter(F.col("_of_n") > 1).groupBy("_of_id", "_of_sha").agg(F.first("_of_doc").alias("_of_doc")).select("_of_doc.*")
     return sure.unionByName(once).unionByName(several)

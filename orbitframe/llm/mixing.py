@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import clean_text, written
+from .common import clean_text, packed, written
 
 #: Words of a block; at least BLOCKS slots are made, so small inputs get smaller blocks.
 BLOCK_WORDS, BLOCKS = 2048, 2000
@@ -142,6 +142,7 @@ def mixed_rows(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     times = mixed.groupBy(F.col("doc_id").alias("_of_id"), F.col("source").alias("_of_source")).agg(
         F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_of_times")
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_of_id")) & F.col("source").eqNullSafe(F.col("_of_source"))
-    taken = docs.join(times.filter("_of_times > 0"), same)
-    return taken.withColumn("_of_copy", F.explode(F.sequence(F.lit(1), "_of_times"))).select(docs.columns)
+    times = times.filter("_of_times > 0").withColumnsRenamed({"_of_id": "_of_i", "_of_source": "_of_s"})
+    rows = packed(docs, "doc_id", "source")
+    taken = rows.join(times, F.col("_of_doc_id").eqNullSafe(F.col("_of_i")) & F.col("_of_source").eqNullSafe(F.col("_of_s")))
+    return taken.select("_of_doc", F.explode(F.sequence(F.lit(1), F.col("_of_times")))).select("_of_doc.*")

@@ -68,7 +68,7 @@ class Machine:
     def scores(self, rows: list[np.ndarray]) -> np.ndarray:
         """Probabilities for rows of places in the weights."""
         if not len(self.weights):
-            return np.full(len(rows), sigmoid(self.bias))
+            return np.full(len(rows), sigmoid(self.bias) if np.isfinite(self.bias) else 0.0)
         flat = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
         ends = np.cumsum([0, *map(len, rows)])
         linear, pairs = self._sums(flat, ends)
