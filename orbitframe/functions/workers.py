@@ -12,10 +12,15 @@ from pyspark.sql import SparkSession
 
 import orbitframe
 
+#: Rows of an Arrow batch; Spark's own limit of bytes holds besides. Small batches bound a worker's memory.
+BATCH_ROWS = 1000
 
 def ship(spark: SparkSession) -> None:
     """Sends the package to the executors once per context, through the driver's file server."""
     context = spark.sparkContext
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) in (0, 10_000):  # Spark's default: no choice of the user's
+        spark.conf.set(key, BATCH_ROWS)
     if getattr(context, "_orbitframe_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(orbitframe.__file__))
