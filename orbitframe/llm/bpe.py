@@ -21,11 +21,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.workers import ship
@@ -35,11 +38,14 @@ from .common import clean_text, written
 TABLE_WORDS = 100_000
 #: Words longer than this stay out of the broadcast table, which bounds its bytes.
 TABLE_WORD_CHARS = 64
-#: Entries of a worker's caches; a full cache starts anew.
-CACHE_ENTRIES = 300_000
-#: Characters for which the short path below equals the library (tests compare all of them):
-#: below U+0250 NFC changes nothing.
-_SIMPLE = re.compile("[\x00-ɏ]*\\Z")
+#: Words in a generation of a worker's cache; of pre-tokens it holds four times as many.
+CACHE_ENTRIES = 100_000
+#: Fixed value: the splitter's pattern of the vocabulary file that this module supports.
+SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Characters for which the short paths below equal the library (tests compare all of them):
+#: below U+0180 NFC changes nothing and lower case stays below, but for U+0130.
+SIMPLE_END = 0x180
+_SIMPLE = re.compile("[\x00-\u012f\u0131-\u017f]*\\Z")
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -50,11 +56,46 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in same else chr(next(rest)) for b in range(256)]
 
 
+def splitter(pattern: str):
+    """findall of the splitter's pattern for lower-case texts of simple characters, by Python's re.
+
+    The classes are written out; only the apostrophe starts two alternatives, kept in order.
+    """
+    import regex
+
+    if pattern != SPLIT_PATTERN:
+        raise ValueError("this vocabulary file's splitter isn't supported")
+    held = lambda which: "".join(re.escape(chr(c)) for c in range(SIMPLE_END) if regex.match(which, chr(c)))
+    letters, numbers, spaces = held(r"\p{L}"), held(r"\p{N}"), held(r"\s")
+    return re.compile(f"[{letters}]+|[{numbers}]|'(?:s|t|re|ve|m|ll|d)|[^{spaces}{letters}{numbers}]+").findall
+
+
+class Cache:
+    """A dict of two generations of at most `room` entries: what is used stays.
+
+    make gives the value of a key that neither holds; base is kept for good.
+    """
+
+    def __init__(self, room: int, make, base: dict[str, bytes] | None = None):
+        self.room, self.make, self.base = room, make, base or {}
+        self.young, self.old = dict(self.base), {}
+
+    def get(self, key: str) -> bytes:
+        value = self.young.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is None:
+                value = self.make(key)
+            if len(self.young) >= self.room + len(self.base):
+                self.old, self.young = self.young, dict(self.base)
+            self.young[key] = value
+        return value
+
+
 class WordEncoder:
     """Packed little-endian ids of words, equal to the library's ids of the same text."""
 
     def __init__(self, vocabulary: str, cache_entries: int = CACHE_ENTRIES):
-        import regex
         from tokenizers import Tokenizer
 
         spec = json.loads(vocabulary)
@@ -64,53 +105,55 @@ class WordEncoder:
         steps = spec["pre_tokenizer"]["pretokenizers"]
         if [n["type"] for n in spec["normalizer"]["normalizers"]] != ["NFC", "Replace", "Lowercase"] or [p["type"] for p in steps] != ["Split", "ByteLevel"]:
             raise ValueError("this vocabulary file's normaliser or splitter isn't supported")
-        self.split = regex.compile(steps[0]["pattern"]["Regex"]).findall
+        self.split = splitter(steps[0]["pattern"]["Regex"])
+        self.opening = os.path.commonprefix([t["content"] for t in spec["added_tokens"]])
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)").search
         self.letters = byte_letters()
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
         self.table: dict[str, bytes] = {}
-        self.room = cache_entries
+        self.pieces, self.words = Cache(4 * cache_entries, self._piece), Cache(cache_entries, self.word)
 
     def use_table(self, table: dict[str, bytes]) -> None:
         if table is not self.table:
             self.table = table
-            self.words = dict(table)
+            self.words = Cache(self.words.room, self.word, table)
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one pre-token, by the library's own merges."""
-        spelled = "".join(map(self.letters.__getitem__, piece.encode()))
-        return np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
+        if not (piece.isascii() and piece.isprintable()):
+            piece = "".join(map(self.letters.__getitem__, piece.encode()))
+        ids = [t.id for t in self.tokenizer.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def word(self, word: str) -> bytes:
         """Ids of a text without spaces and line ends."""
-        if not _SIMPLE.match(word) or self.special(word):
-            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        out = []
-        for piece in self.split(word.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                if len(self.pieces) >= self.room:
-                    self.pieces.clear()
-                ids = self.pieces[piece] = self._piece(piece)
-            out.append(ids)
-        return b"".join(out)
+        if (word.isascii() or _SIMPLE.match(word)) and not (self.opening in word and self.special(word)):
+            return b"".join(map(self.pieces.get, self.split(word.lower())))
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def text(self, text: str) -> bytes:
         """Ids of a whole text: the words' ids, by position."""
-        split = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.words.__getitem__, split))
-        except KeyError:
-            pass
-        words = self.words
-        fresh = [w for w in set(split) if w not in words]
-        if len(words) + len(fresh) > self.room + len(self.table):
-            words = self.words = dict(self.table)
-            fresh = [w for w in set(split) if w not in words]
-        for word in fresh:
-            words[word] = self.word(word)
-        return b"".join(map(words.__getitem__, split))
+        return b"".join(map(self.words.get, text.replace("\n", " ").split(" ")))
+
+    def batch(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a batch, by the batch's table of distinct words.
+
+        Arrow splits the texts and numbers their words; each distinct one is looked up once,
+        and its ids are put to every position.
+        """
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        numbered = parts.flatten().dictionary_encode()
+        values = list(map(self.words.get, numbered.dictionary.to_pylist()))
+        flat = np.frombuffer(b"".join(values), "<u4")
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        starts = np.cumsum(sizes) - sizes
+        at = numbered.indices.to_numpy()
+        n = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        kind = np.int32 if ends[-1] < 2**31 else np.int64
+        ids = flat[np.repeat((starts[at] - ends[:-1]).astype(kind), n) + np.arange(ends[-1], dtype=kind)]
+        edges = ends[np.concatenate([[0], np.cumsum(parts.value_lengths().to_numpy())])]
+        return np.split(ids, edges[1:-1]) if len(texts) else []
 
 
 def encoder(vocabulary: str) -> WordEncoder:
@@ -178,15 +221,15 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary_path: str, table_wor
         tool.use_table(table.value)
         pieces = piece_table(source.value)
         for batch in batches:
-            packed = [tool.text(t) for t in batch.column("_of_text").to_pylist()]
-            counts = pa.array([len(p) // 4 for p in packed], pa.int64())
+            rows = tool.batch(batch.column("_of_text"))
+            counts = pa.array(map(len, rows), pa.int64())
             if digest:
-                decoded = [" ".join(map(pieces.__getitem__, np.frombuffer(p, "<u4").tolist())) for p in packed]
-                columns = [[hashlib.sha256(p).hexdigest() for p in packed], [hashlib.sha256(d.encode()).hexdigest() for d in decoded]]
+                decoded = [" ".join(map(pieces.__getitem__, ids.tolist())) for ids in rows]
+                columns = [[hashlib.sha256(ids.tobytes()).hexdigest() for ids in rows], [hashlib.sha256(d.encode()).hexdigest() for d in decoded]]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), counts, *map(pa.array, columns)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
             else:
-                flat = np.frombuffer(b"".join(packed), "<u4").astype("<i4")
-                starts = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype("<i4")
+                flat = np.concatenate([*rows, np.zeros(0, "<u4")]).astype("<i4")
+                starts = np.concatenate([[0], np.cumsum([len(ids) for ids in rows])]).astype("<i4")
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), counts, pa.ListArray.from_arrays(starts, flat)], ["doc_id", "n_tokens", "ids"])
 
     schema = "doc_id long, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>")

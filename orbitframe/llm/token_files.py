@@ -79,15 +79,14 @@ def write_files(spark: SparkSession, docs: DataFrame, vocabulary_path: str, path
     ship(spark)
     vocabulary = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     width = 2 if encoder(vocabulary.value).tokenizer.get_vocab_size() <= 1 << 16 else 4
-    end = np.array([end_id], "<u4").tobytes()
 
-    def serialised(text: str) -> tuple[int, bytes]:
-        ids = np.frombuffer(encoder(vocabulary.value).text(text) + end, "<u4")
-        return len(ids), pack_ids(ids, width)
+    def serialised(texts: pa.Array) -> Iterator[tuple[int, bytes]]:
+        for ids in encoder(vocabulary.value).batch(texts):
+            yield len(ids) + 1, pack_ids(np.append(ids, np.uint32(end_id)), width)
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([serialised(t)[1][:SAMPLE_BYTES] for t in batch.column("_of_text").to_pylist()], pa.binary())], ["data"])
+            yield pa.RecordBatch.from_arrays([pa.array([data[:SAMPLE_BYTES] for _, data in serialised(batch.column("_of_text"))], pa.binary())], ["data"])
 
     texts = docs.select("doc_id", clean_text().alias("_of_text"))
     chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
@@ -104,10 +103,10 @@ def write_files(spark: SparkSession, docs: DataFrame, vocabulary_path: str, path
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, edges = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(dictionary.value)), np.array(bounds, np.int64)
         for batch in batches:
-            packed = [serialised(t) for t in batch.column("_of_text").to_pylist()]
+            packed = [(n, made.compress(data)) for n, data in serialised(batch.column("_of_text"))]
             shard = np.searchsorted(edges, batch.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False), side="left")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(shard, pa.int32()), pa.array([n for n, _ in packed], pa.int64()), pa.array([made.compress(d) for _, d in packed], pa.binary())],
+                [batch.column("doc_id"), pa.array(shard, pa.int32()), pa.array([n for n, _ in packed], pa.int64()), pa.array([d for _, d in packed], pa.binary())],
                 ["doc_id", "shard", "n", "frame"],
             )
 
