@@ -33,10 +33,10 @@ from ..functions.workers import ship
 from .common import written
 
 #: Bound of the vectors that the tree and the calibration see.
-SAMPLE_ROWS = 20_000
-BRANCHES, LEAF_ROWS, ROUNDS = 16, 64, 8
+SAMPLE_ROWS = 8192
+BRANCHES, LEAF_ROWS, ROUNDS = 10, 160, 8
 #: Calibration: queries, and the recall on the sample at which widening stops.
-PROBES, RECALL = 256, 0.98
+PROBES, RECALL = 256, 0.95
 #: Entries of a leaf's block and queries of a tile, at most about.
 BLOCK, TILE = 4096, 2048
 
