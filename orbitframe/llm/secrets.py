@@ -17,7 +17,7 @@ so short tokens can't reach what long ones can. Tokens that fail the battery (a
 p-value under ALPHA) have the e-value 0. The e-values of all tokens of the whole corpus go through
 the e-value form of the Benjamini-Hochberg rule at level LEVEL, which holds under any
 dependence: with m tokens tested, those with e >= m / (LEVEL * rank) are reported. The threshold comes from a histogram of
-log2 e-values (some hundred rows at any size).
+log2 e-values (at most some thousand rows at any size).
 
 Null texts count as empty, with no spans; rows of a repeated or null doc_id are each
 scanned; extra columns are ignored; an empty table gives an empty result. Letters of the
@@ -51,6 +51,8 @@ _RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
 _DIGIT = re.compile(r"[0-9]")
 _LETTER = re.compile(r"[A-Za-z]")
 ALPHA, LEVEL = 0.001, 0.01
+#: Histogram of e-values: all from 2**1000 on, more than any threshold, count as one step.
+TOP_STEP = 4000
 #: Ordinary tokens: chance that a character is of the kind of the one before.
 STAY = 0.9
 KIND_SIZES = {"l": 26, "u": 26, "d": 10, "s": 4}
@@ -175,7 +177,7 @@ def scan(spark: SparkSession, docs: DataFrame, level: float = LEVEL) -> DataFram
 
 def threshold(found: DataFrame, level: float) -> float:
     """Least log2 e-value reported: e >= m / (level * number reported), in steps of a quarter bit."""
-    steps = found.select(F.explode("runs.log2_e").alias("e")).groupBy(F.greatest(F.floor(F.col("e") * 4), F.lit(-4)).alias("step")).count().collect()
+    steps = found.select(F.explode("runs.log2_e").alias("e")).groupBy(F.least(F.greatest(F.floor(F.col("e") * 4), F.lit(-4)), F.lit(TOP_STEP)).alias("step")).count().collect()
     total = sum(r["count"] for r in steps)
     reported, edge = 0, math.inf
     for row in sorted(steps, key=lambda r: -r["step"]):
