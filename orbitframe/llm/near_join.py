@@ -9,9 +9,9 @@ The join splits recursively. Each run starts from one coordinate and deals the e
 to buckets by its value; a bucket of more than LIMIT entries is split again by coordinates
 that its path chooses (FANOUT per level). Small buckets are searched by brute force:
 sketches that agree in at least ROUGH of the coordinates become candidates, and of each
-bucket a spanning forest of them is kept, as only connection matters at this point. Buckets
-still large at the last level hold sets that agree almost everywhere; they are cut into
-small ones at random, and each entry is also compared with its bucket's first. Runs are
+connected part of a bucket a star is kept, as only connection matters at this point. Buckets
+still large at the last level hold sets that agree almost everywhere: each entry is
+compared with its bucket's first, and, in small buckets cut at random, with others. Runs are
 repeated until the chance that a pair at the threshold meets in none is under 1 - RECALL.
 
 Connected candidates form neighbourhoods. Within each, every pair is compared exactly on
@@ -168,21 +168,33 @@ def features(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def _brute_force(buckets: DataFrame) -> DataFrame:
-    """Candidate edges (a, b) of buckets (members: array of (rep, sketch)), a spanning forest of each."""
+    """Candidate edges (a, b) of buckets (members: array of (rep, tied, sketch)).
+
+    Each member of a connected part gets an edge to the part's least rep, so that runs that
+    find the same part give the same edges. Tied members are known to be connected already
+    and need no edge among each other.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             members = batch.column("members")
-            reps = np.asarray(members.flatten().field("rep"))
-            sketches = np.asarray(members.flatten().field("sketch").flatten(), np.int32).reshape(-1, COORDINATES)
+            flat = members.flatten()
+            reps, tied = np.asarray(flat.field("rep")), flat.field("tied").to_numpy(zero_copy_only=False)
+            sketches = np.asarray(flat.field("sketch").flatten(), np.int32).reshape(-1, COORDINATES)
             ends = np.concatenate([[0], np.cumsum(np.asarray(members.value_lengths()))])
             edges = []
             for a, b in zip(ends[:-1], ends[1:]):
-                part = sketches[a:b]
+                order = np.argsort(reps[a:b], kind="stable") + a
+                part, known = sketches[order], tied[order]
                 agree = (part[:, None, :] == part[None, :, :]).sum(axis=2) >= ROUGH * COORDINATES
                 np.fill_diagonal(agree, False)
-                if agree.any():
-                    edges += [(reps[a + i], reps[a + j]) for i, j in forest(agree)]
+                if not agree.any():
+                    continue
+                root = np.arange(b - a)
+                for i, j in forest(agree | (known[:, None] & known[None, :])):
+                    root[j] = root[i]
+                star = np.flatnonzero((root != np.arange(b - a)) & ~(known & known[root]))
+                edges += zip(reps[order[root[star]]].tolist(), reps[order[star]].tolist())
             made = np.array(edges, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(made.min(axis=1, initial=2**63 - 1)), pa.array(made.max(axis=1, initial=-(2**63)))], ["a", "b"])
 
@@ -203,18 +215,19 @@ def candidates(spark: SparkSession, entries: DataFrame, threshold: float = THRES
         if depth == 0:
             met = met.join(entries.select("rep", "sketch"), "rep")
         met = written(spark, met, f"level{depth}")
-        member = F.struct("rep", "sketch")
-        small = met.filter(F.col("met") <= LIMIT).groupBy("key").agg(F.collect_list(member).alias("members"))
+        member = lambda tied: F.collect_list(F.struct("rep", tied.alias("tied"), "sketch")).alias("members")
+        small = met.filter(F.col("met") <= LIMIT).groupBy("key").agg(member(F.lit(False)))
         edges.append(written(spark, _brute_force(small), "edges"))
         large = met.filter(F.col("met") > LIMIT)
         if depth == len(FANOUT):
-            cut = F.pmod(F.xxhash64("rep", "key"), F.ceil(F.col("met") / (LIMIT / 2)).cast("long"))
-            parts = large.withColumn("part", cut).groupBy("key", "part").agg(F.collect_list(member).alias("members"))
-            edges.append(written(spark, _brute_force(parts), "edges"))
             heads = large.groupBy("key").agg(F.min(F.struct("rep", "sketch")).alias("head"))
             agree = F.aggregate(F.zip_with("sketch", "head.sketch", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-            first = large.join(heads, "key").filter((F.col("rep") != F.col("head.rep")) & (agree >= ROUGH * COORDINATES))
-            edges.append(first.select(F.col("head.rep").alias("a"), F.col("rep").alias("b")))
+            cut = F.pmod(F.xxhash64("rep", "key"), F.ceil(F.col("met") / (LIMIT / 2)).cast("long"))
+            large = written(spark, large.join(heads, "key").select("key", "rep", "sketch", F.col("head.rep").alias("head"), (agree >= ROUGH * COORDINATES).alias("near"), cut.alias("part")), "heads")
+            edges.append(large.filter("near and rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")))
+            # parts without anyone apart from the head have nothing to add
+            parts = large.groupBy("key", "part").agg(member(F.col("near")), F.min("near").alias("all")).filter(~F.col("all"))
+            edges.append(written(spark, _brute_force(parts), "edges"))
             break
         if large.isEmpty():
             break
@@ -235,6 +248,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """
     edges = written(spark, edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "both")
     labels = written(spark, edges.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("label")), "labels")
+    if labels.isEmpty():
+        return labels
     while True:
         near = edges.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("label").alias("near"))
         spread = labels.join(near, F.col("id") == F.col("a")).select("id", "label", F.least("label", "near").alias("less"))
@@ -249,8 +264,9 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 def exact_links(spark: SparkSession, docs: DataFrame, members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Compares all members (rep, fp1, fp2, copies, label) of a label exactly, in tiles.
 
-    Rows (a, b, links): b null, links: documents linked to a in one tile; b not null: an
-    edge of a spanning forest of a tile's links.
+    Rows (a, b, links, edge). edge false: links is the number of documents linked to a in one
+    tile, and b is a's class where the label has only this tile, else null. edge true: (a, b)
+    is an edge of a spanning forest of the links of one of several tiles.
     """
     ship(spark)
     sizes = members.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
@@ -261,7 +277,7 @@ def exact_links(spark: SparkSession, docs: DataFrame, members: DataFrame, thresh
     texts = with_maybe(texts, "_of_h", bits, bitmaps).filter("_of_maybe").select("doc_id", "_of_text")
     rows = members.join(texts, F.col("rep") == F.col("doc_id"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "fp1", "fp2", "copies", "_of_text")
+    rows = rows.select("label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "blocks", "block", "rep", "fp1", "fp2", "copies", "_of_text")
     key = ["label", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,13 +291,22 @@ def exact_links(spark: SparkSession, docs: DataFrame, members: DataFrame, thresh
             if at[1] != at[2]:
                 linked &= block[:, None] != block[None, :]
             links = linked @ np.array([f[1] for f in found], np.int64)
-            edges = forest(linked)
+            edges, own = forest(linked), [None] * len(reps)
+            if found[0][3] == 1:
+                own = list(reps)
+                for i, j in edges:  # a tree's edges come from its root on
+                    own[j] = own[i]
+                least = {}
+                for rep, root in zip(reps, own):
+                    least[root] = min(rep, least.get(root, rep))
+                own, edges = [least[root] for root in own], []
             a = [*reps, *(reps[i] for i, _ in edges)]
-            b = [*[None] * len(reps), *(reps[j] for _, j in edges)]
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([*links.tolist(), *[0] * len(edges)], pa.int64())], ["a", "b", "links"])
+            b = [*own, *(reps[j] for _, j in edges)]
+            made = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([*links.tolist(), *[0] * len(edges)], pa.int64()), pa.array([False] * len(reps) + [True] * len(edges))]
+            return pa.RecordBatch.from_arrays(made, ["a", "b", "links", "edge"])
 
         for batch in batches:
-            for label, i, j, block, rep, fp1, fp2, copies, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for label, i, j, blocks, block, rep, fp1, fp2, copies, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if (label, i, j) != at:
                     if len(held) > 1:
                         yield close()
@@ -289,11 +314,11 @@ def exact_links(spark: SparkSession, docs: DataFrame, members: DataFrame, thresh
                 found = tool.shingles(text)
                 prints = tuple(int(mixed(found, k).sum(dtype=np.uint64).view(np.int64)) for k in (1, 2))
                 if rep not in held and prints == (fp1, fp2):
-                    held[rep] = (block, copies, found)
+                    held[rep] = (block, copies, found, blocks)
         if len(held) > 1:
             yield close()
 
-    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long, links long")
+    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long, links long, edge boolean")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -310,11 +335,11 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, threshold: float = THRESH
     near = components(spark, candidates(spark, groups, threshold, recall))
     members = groups.select("rep", "fp1", "fp2", "copies").join(near, F.col("rep") == F.col("id")).drop("id")
     links = written(spark, exact_links(spark, docs, members, threshold), "links")
-    counts = links.filter("b is null").groupBy(F.col("a").alias("_of_a")).agg(F.sum("links").alias("links"))
-    classes = components(spark, links.filter("b is not null").select("a", "b"))
+    counts = links.filter("not edge").groupBy(F.col("a").alias("_of_a")).agg(F.sum("links").alias("links"), F.min("b").alias("own"))
+    classes = components(spark, links.filter("edge").select("a", "b"))
     groups = groups.drop("sketch").join(classes, F.col("rep") == F.col("id"), "left").join(counts, F.col("rep") == F.col("_of_a"), "left")
     groups = groups.select(
-        "fp1", "fp2", "copies", F.coalesce("label", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "fp1", "fp2", "copies", F.coalesce("label", "own", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     joined = join_groups(some.select("doc_id", "fp1", "fp2"), written(spark, groups, "classes"), ["fp1", "fp2"], "copies")
     joined = joined.select("doc_id", "class_id", "n_links", "copies")
