@@ -93,11 +93,13 @@ def segment_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> Machine:
     """Fits the machine to rows of distinct term buckets and 0/1 labels."""
-    index = np.full(BUCKETS, -1, np.int64)
+    index = np.full(BUCKETS, -1, np.int32)
     if not len(rows):
         return Machine(-np.inf, index, np.zeros(0), np.zeros((0, FACTORS)))
-    count = lambda some: np.bincount(np.concatenate([*some, np.zeros(0, np.int64)]).astype(np.int64), minlength=BUCKETS)
-    support, ones = count(rows), count([r for r, y in zip(rows, labels) if y])
+    support, ones = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for row, label in zip(rows, labels):  # a row's buckets are distinct
+        support[row] += 1
+        ones[row] += int(label > 0)
     share = (labels.sum() + 0.5) / (len(labels) + 1)
     apart = (ones - support * share) ** 2 / np.maximum(support * share * (1 - share), 1e-9)
     used = np.flatnonzero((support >= MIN_ROWS) & ((apart >= MIN_CHI) | (support >= COMMON * len(rows))))
@@ -112,8 +114,8 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> Machine:
     for k in range(0, len(order), BATCH):
         chosen = order[k : k + BATCH]
         flat = np.concatenate([places[i] for i in chosen])
-        owner = np.repeat(np.arange(len(chosen)), [len(places[i]) for i in chosen])
-        sort = np.argsort(flat, kind="stable")
+        owner = np.repeat(np.arange(len(chosen), dtype=np.int32), [len(places[i]) for i in chosen])
+        sort = np.argsort(flat, kind="stable").astype(np.int32)
         unique, starts = np.unique(flat[sort], return_index=True)
         batches.append((flat, np.cumsum([0, *(len(places[i]) for i in chosen)]), owner, sort, unique, starts, labels[chosen]))
     grown_b, grown_w, grown_v = 1e-6, np.full(len(used), 1e-6), np.full((len(used), FACTORS), 1e-6)
@@ -159,7 +161,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = T
     found = texts.mapInArrow(run, "doc_id long, _of_y double, found array<int>")
     found = found.groupBy("doc_id").agg(F.min(F.struct("found", "_of_y")).alias("row")).select("doc_id", "row.*").toArrow().sort_by("doc_id")
     flat = found.column("found").combine_chunks()
-    lists = [np.asarray(x.values, np.int64) for x in flat] if len(found) else []
+    lists = [np.asarray(x.values, np.int32) for x in flat] if len(found) else []
     return fit(lists, found.column("_of_y").to_numpy())
 
 
