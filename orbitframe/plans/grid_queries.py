@@ -8,14 +8,20 @@ from ..functions import scalar
 from ..operators import geometry, grid, scenes, series
 from .registry import query, table
 
-#: The proxies' rasters: lineitem's keys as pixels, 20 x 25 vectors as a small map.
+#: The proxies' rasters: lineitem's keys as pixels (at least so many), 20 x 25 vectors as a small map.
 WIDTH, HEIGHT, CELL = 2000, 100, 20
 ORIGIN_X, ORIGIN_Y, STEP = 500000.0, 5300080.0, 10.0
 
 
+def _raster(spark, d):
+    """Width and height that hold every key of lineitem, WIDTH x HEIGHT at least."""
+    most = table(spark, d, "lineitem").agg(F.max("l_partkey").alias("x"), F.max("l_suppkey").alias("y")).first()
+    return max(WIDTH, most.x or 0), max(HEIGHT, most.y or 0)
+
+
 def _roi(spark, d):
-    """row, col, v: pixels of lineitem within the raster; v is set where the quantity is high."""
-    rows = table(spark, d, "lineitem").filter((F.col("l_partkey") <= WIDTH) & (F.col("l_suppkey") <= HEIGHT))
+    """row, col, v: pixels of lineitem; v is set where the quantity is high."""
+    rows = table(spark, d, "lineitem")
     return rows.groupBy((F.col("l_suppkey") - 1).alias("row"), (F.col("l_partkey") - 1).alias("col")).agg(F.max((F.col("l_quantity") > 48).cast("int")).alias("v"))
 
 
@@ -34,7 +40,7 @@ _GRID = f"""
     SELECT x0 || '_' || y0 || '_' || x1 || '_' || y1 AS patch_id, g.px, g.py FROM g JOIN h ON g.px = h.px AND g.py = h.py
 """)
 def patch_grid_nonzero(spark, d):
-    patches = grid.patch_grid(spark, WIDTH, HEIGHT, CELL)
+    patches = grid.patch_grid(spark, *_raster(spark, d), CELL)
     return grid.patches_with_data(patches, _roi(spark, d), CELL).select("patch_id", "px", "py")
 
 
@@ -134,7 +140,7 @@ def nearest_resample(spark, d):
     SELECT CAST(col // 7 AS INTEGER) AS col, CAST(row // 7 AS INTEGER) AS row, round(avg(v), 6) AS v FROM q GROUP BY col // 7, row // 7
 """)
 def block_mean(spark, d):
-    return grid.block_mean(_roi(spark, d), "v", 7, WIDTH, HEIGHT).withColumn("v", F.round("v", 6))
+    return grid.block_mean(_roi(spark, d), "v", 7, *_raster(spark, d)).withColumn("v", F.round("v", 6))
 
 
 @query(f"""
@@ -268,10 +274,10 @@ def hull_envelope(spark, d):
 """)
 def patch_pipeline(spark, d):
     """Patches with data, extraction, valid-first merge of two tiles, pixel filter."""
-    rows = table(spark, d, "lineitem").filter((F.col("l_partkey") <= WIDTH) & (F.col("l_suppkey") <= HEIGHT))
+    rows = table(spark, d, "lineitem")
     place = {"row": F.col("l_suppkey") - 1, "col": F.col("l_partkey") - 1}
     roi = rows.select(place["row"].alias("row"), place["col"].alias("col"), (F.col("l_quantity") > 48).cast("int").alias("v"))
-    patches = grid.patches_with_data(grid.patch_grid(spark, WIDTH, HEIGHT, CELL), roi, CELL).select("px", "py")
+    patches = grid.patches_with_data(grid.patch_grid(spark, *_raster(spark, d), CELL), roi, CELL).select("px", "py")
     seen = rows.select(
         place["row"].alias("row"), place["col"].alias("col"), F.dayofyear("l_shipdate").alias("doy"), (F.col("l_returnflag") == "N").cast("int").alias("mask"),
         (F.col("l_orderkey") % 2).alias("tile"), "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity",
