@@ -48,3 +48,26 @@ def test_rasters_hold_every_line(run, lines):
     assert {(r.col, r.row) for r in run("affine_roundtrip", lineitem=lines)} == set(v)
     merged = {(r.col, r.row): (r.days, r.valid, r.total) for r in run("patch_pipeline", lineitem=lines)}
     assert merged == {(4, 6): (1, 1, 50.0), (1999, 99): (1, 1, 50.0), (2000, 100): (1, 1, 49.0), (2499, 39): (1, 1, 50.0), (4320, 332): (1, 1, 50.0)}
+
+
+def test_boxes_hold_every_tile(run):
+    customers = [(c, c % 3) for c in (1, 7, 30, 55)]
+    suppliers = [(s,) for s in (3, 60, 61, 200, 777)]
+    tables = {"customer": (customers, "c_custkey long, c_nationkey int"), "supplier": (suppliers, "s_suppkey long")}
+    patches = {c: (c * 37 % 1000, c * 91 % 700, c * 37 % 1000 + 10, c * 91 % 700 + 10) for c, _ in customers}
+    tiles = {s: (s * 53 % 900, s * 29 % 600, s * 53 % 900 + 40, s * 29 % 600 + 30) for (s,) in suppliers}
+    near = lambda p, t, m: p[2] + m >= t[0] and p[0] - m <= t[2] and p[3] + m >= t[1] and p[1] - m <= t[3]
+    assert {tuple(r) for r in run("patch_tile_overlap", **tables)} == {(p, t) for p in patches for t in tiles if near(patches[p], tiles[t], 0)}
+    want = set()
+    for p in patches:
+        tiers = [[t for t in tiles if near(patches[p], tiles[t], 0)], [t for t in tiles if near(patches[p], tiles[t], 1)], list(tiles)]
+        tier = next(k for k, found in enumerate(tiers, 1) if found)
+        want |= {(p, t, tier) for t in tiers[tier - 1]}
+    assert {tuple(r) for r in run("patch_tile_overlap_tiers", **tables)} == want
+    ring = run("densified_boundary", **tables)
+    assert {r.tile for r in ring} == set(tiles) and len(ring) == 80 * len(tiles)
+    pixels = {(t, b[0] + 2 * k, b[1] + k): b[0] < 100 or b[1] < 100 or b[2] > 600 or b[3] > 400 for t, b in tiles.items() for k in range(20)}
+    kept = {(t, x, y, c) for (t, x, y), c in pixels.items() if not c or (100 <= x <= 600 and 100 <= y <= 400)}
+    assert {(r.tile, r.x, r.y, r.clipped) for r in run("bbox_clip", **tables)} == kept
+    held = {(t, i, j) for t, b in tiles.items() for i in range(-8, 330) for j in range(240) if abs(i * 3 + 1.5 - b[0] - 20) / 20.3 + abs(700 - j * 3 - 1.5 - b[1] - 15) / 15.7 < 1}
+    assert {(r.tile, r.col, r.row) for r in run("rasterize_polygons", **tables)} == held
