@@ -87,7 +87,8 @@ def _target(spark: SparkSession, width: int, height: int) -> DataFrame:
 def bilinear(spark: SparkSession, pixels: DataFrame, value: str, source: tuple[int, int], target: tuple[int, int]) -> DataFrame:
     """col, row, value on a target grid: position k * source / target, neighbours held inside.
 
-    Each target pixel asks for its four neighbours with their weights, so one join serves all.
+    Each target pixel asks for its four neighbours with their weights, so one join serves all;
+    pixels without all four are left out.
     """
     (sw, sh), (tw, th) = source, target
     x, y = F.col("col") * (sw / tw), F.col("row") * (sh / th)
@@ -98,7 +99,8 @@ def bilinear(spark: SparkSession, pixels: DataFrame, value: str, source: tuple[i
     corners = F.array(corner("x0", "y0", (1 - fx) * (1 - fy)), corner("x1", "y0", fx * (1 - fy)), corner("x0", "y1", (1 - fx) * fy), corner("x1", "y1", fx * fy))
     asked = ends.select("col", "row", F.inline(corners))
     have = pixels.select(F.col("col").alias("sx"), F.col("row").alias("sy"), F.col(value).cast("double").alias("_v"))
-    return asked.join(have, ["sx", "sy"]).groupBy("col", "row").agg(F.sum(F.col("w") * F.col("_v")).alias(value))
+    made = asked.join(have, ["sx", "sy"]).groupBy("col", "row").agg(F.sum(F.col("w") * F.col("_v")).alias(value), F.count(F.lit(1)).alias("_n"))
+    return made.filter(F.col("_n") >= 4).drop("_n")
 
 
 def nearest(spark: SparkSession, pixels: DataFrame, value: str, source: tuple[int, int], target: tuple[int, int]) -> DataFrame:

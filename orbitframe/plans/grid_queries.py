@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar
 from ..operators import geometry, grid, scenes, series
-from .registry import query, table
+from .registry import query, table, vectors
 
-#: The proxies' rasters: lineitem's keys as pixels (at least so many), 20 x 25 vectors as a small map.
+#: The proxies' rasters: lineitem's keys as pixels (at least so many), vectors as a map of 20 in a row.
 WIDTH, HEIGHT, CELL = 2000, 100, 20
 ORIGIN_X, ORIGIN_Y, STEP = 500000.0, 5300080.0, 10.0
 
@@ -94,16 +94,21 @@ def window_extract_pad(spark, d):
 """)
 def dense_scatter(spark, d):
     sparse = table(spark, d, "embeddings").select(F.col("vec_id").alias("cell"), F.col("embedding").alias("vec"))
-    cells = grid.dense(spark, sparse, "cell", 3000, {"vec": F.array_repeat(F.lit(0.0).cast("float"), 64)})
+    cells = grid.dense(spark, sparse, "cell", max(3000, vectors(spark, d)), {"vec": F.array_repeat(F.lit(0.0).cast("float"), 64)})
     return cells.select("cell", F.round(F.col("vec")[0].cast("double"), 6).alias("first"), F.size("vec").alias("n"))
 
 
 def _map(spark, d):
-    """A 20 x 25 map of the first element of the first 500 vectors."""
-    rows = table(spark, d, "embeddings").filter("vec_id < 500")
+    """A map of the first elements of all vectors, 20 in a row."""
+    rows = table(spark, d, "embeddings")
     return rows.select((F.col("vec_id") % 20).cast("int").alias("col"), F.expr("vec_id div 20").cast("int").alias("row"), F.col("embedding")[0].cast("double").alias("v"), "vec_id")
 
 
+def _rows(spark, d):
+    """Rows of _map()."""
+    return -(-vectors(spark, d) // 20)
+
+
 _MAP = "SELECT CAST(vec_id % 20 AS INTEGER) AS col, CAST(vec_id // 20 AS INTEGER) AS row, embedding[1]::DOUBLE AS v, vec_id FROM embeddings WHERE vec_id < 500"
 
 
@@ -124,7 +129,8 @@ def stitch_last_wins(spark, d):
     JOIN m a ON a.col = x0 AND a.row = y0 JOIN m b ON b.col = x1 AND b.row = y0 JOIN m e ON e.col = x0 AND e.row = y1 JOIN m f ON f.col = x1 AND f.row = y1
 """)
 def bilinear_resample(spark, d):
-    return grid.bilinear(spark, _map(spark, d), "v", (20, 25), (30, 40)).withColumn("v", F.round("v", 5))
+    rows = _rows(spark, d)
+    return grid.bilinear(spark, _map(spark, d), "v", (20, rows), (30, -(-rows * 8 // 5))).withColumn("v", F.round("v", 5))
 
 
 @query(f"""
@@ -132,7 +138,8 @@ def bilinear_resample(spark, d):
     SELECT g.col, g.row, round(v, 6) AS v FROM g JOIN m ON m.col = least(floor((g.col + 0.5) * 20 / 30), 19) AND m.row = least(floor((g.row + 0.5) * 25 / 40), 24)
 """)
 def nearest_resample(spark, d):
-    return grid.nearest(spark, _map(spark, d), "v", (20, 25), (30, 40)).withColumn("v", F.round("v", 6))
+    rows = _rows(spark, d)
+    return grid.nearest(spark, _map(spark, d), "v", (20, rows), (30, -(-rows * 8 // 5))).withColumn("v", F.round("v", 6))
 
 
 @query(f"""
@@ -148,7 +155,7 @@ def block_mean(spark, d):
     SELECT CAST(col AS INTEGER) AS col, CAST(row AS INTEGER) AS row, round(v, 6) AS v, {ORIGIN_X} + {STEP} * 2 * col AS x, {ORIGIN_Y} - {STEP} * 2 * row AS y FROM b
 """)
 def downsample_export(spark, d):
-    small = grid.block_mean(_map(spark, d), "v", 2, 20, 25)
+    small = grid.block_mean(_map(spark, d), "v", 2, 20, _rows(spark, d))
     return small.select("col", "row", F.round("v", 6).alias("v"), scalar.to_world(F.col("col"), ORIGIN_X, 2 * STEP).alias("x"), scalar.to_world(F.col("row"), ORIGIN_Y, -2 * STEP).alias("y"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,4 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vectors(spark: SparkSession, sf_dir: str) -> int:
+    """Number of vectors, which are numbered from 0."""
+    return (table(spark, sf_dir, "embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1
+
+
 from . import grid_queries, scene_queries, series_queries  # noqa: E402, F401  they register themselves

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar
 from ..operators import network, series
-from .registry import query, table
+from .registry import query, table, vectors
 
 #: Parameters of the proxies: a mean and a deviation for events.value.
 MEAN, DEVIATION, SEED, DRAWN = 49.63, 28.79, 7, 40
@@ -147,10 +147,10 @@ def linear_reducer(spark, d):
 
 
 def _pairs(spark, d):
-    """Each vector with the next one."""
-    vectors = table(spark, d, "embeddings").filter("vec_id < 500").select("vec_id", "embedding")
-    other = vectors.select(F.pmod(F.col("vec_id") + 499, F.lit(500)).alias("vec_id"), F.col("embedding").alias("other"))
-    return vectors.join(other, "vec_id")
+    """Each vector with the next one, the last with the first."""
+    rows, n = table(spark, d, "embeddings").select("vec_id", "embedding"), vectors(spark, d)
+    other = rows.select(F.pmod(F.col("vec_id") + (n - 1), F.lit(n)).alias("vec_id"), F.col("embedding").alias("other"))
+    return rows.join(other, "vec_id")
 
 
 _PAIRS = "SELECT a.vec_id, a.embedding AS x, b.embedding AS y FROM embeddings a JOIN embeddings b ON b.vec_id = (a.vec_id + 1) % 500 WHERE a.vec_id < 500 AND b.vec_id < 500"

@@ -71,3 +71,37 @@ def test_boxes_hold_every_tile(run):
     assert {(r.tile, r.x, r.y, r.clipped) for r in run("bbox_clip", **tables)} == kept
     held = {(t, i, j) for t, b in tiles.items() for i in range(-8, 330) for j in range(240) if abs(i * 3 + 1.5 - b[0] - 20) / 20.3 + abs(700 - j * 3 - 1.5 - b[1] - 15) / 15.7 < 1}
     assert {(r.tile, r.col, r.row) for r in run("rasterize_polygons", **tables)} == held
+
+
+@pytest.fixture(scope="module")
+def many():
+    rows = [(i, [float(i % 97 + j) / 64 for j in range(64)]) for i in range(3107)]
+    return rows, "vec_id long, embedding array<float>"
+
+
+def test_maps_and_pairs_hold_every_vector(run, many):
+    v = {i: vec for i, vec in many[0]}
+    n, rows = len(v), 156
+    at = {(i % 20, i // 20): vec[0] for i, vec in v.items()}
+    assert {r.vec_id: r.first_of_second for r in run("fusion_concat", embeddings=many)} == {i: round(v[(i + 1) % n][0], 6) for i in v}
+    sums = {r.vec_id: r.norm for r in run("fusion_sum", embeddings=many)}
+    assert sums == pytest.approx({i: sum((a + b) ** 2 for a, b in zip(v[i], v[(i + 1) % n])) for i in v}, abs=1e-4)
+    assert {r.cell: r.first for r in run("dense_scatter", embeddings=many)} == {i: round(vec[0], 6) for i, vec in v.items()}
+    over = at | {(x + 10, y + 5): -k for (x, y), k in at.items()}
+    assert {(r.col, r.row): r.v for r in run("stitch_last_wins", embeddings=many)} == {p: round(k, 6) for p, k in over.items()}
+    near = {(x, y): at.get((min(int((x + 0.5) * 20 / 30), 19), min(int((y + 0.5) * rows / 250), rows - 1))) for x in range(30) for y in range(250)}
+    assert {(r.col, r.row): r.v for r in run("nearest_resample", embeddings=many)} == {p: round(k, 6) for p, k in near.items() if k is not None}
+    smooth = {}
+    for x in range(30):
+        for y in range(250):
+            fx, fy = x * (20 / 30), y * (rows / 250)
+            a, b, fx, fy = int(fx), int(fy), fx % 1, fy % 1
+            parts = [(at.get((min(a + i, 19), min(b + j, rows - 1))), (fx if i else 1 - fx) * (fy if j else 1 - fy)) for i in (0, 1) for j in (0, 1)]
+            if all(k is not None for k, _ in parts):
+                smooth[x, y] = sum(k * w for k, w in parts)
+    assert {(r.col, r.row): r.v for r in run("bilinear_resample", embeddings=many)} == pytest.approx(smooth, abs=2e-5)
+    blocks = {}
+    for (x, y), k in at.items():
+        blocks.setdefault((x // 2, y // 2), []).append(k)
+    small = {(r.col, r.row): r.v for r in run("downsample_export", embeddings=many)}
+    assert small == pytest.approx({b: sum(k) / len(k) for b, k in blocks.items()}, abs=1e-6)
