@@ -7,10 +7,10 @@ and the notices' own words out of order. Probabilities are calibrated on a third
 variants that the fit doesn't see: a temperature is chosen by likelihood, then the least
 probability at which at most FALSE_SHARE of the unknown ones pass. What stays below is unknown.
 
-Every line of every whole text is read in windows of WINDOW words, half overlapping. A
-predicted family counts only if a template of the same family confirms it: at least
+Every whole text is read in windows of WINDOW words, half overlapping; line breaks only
+part words, so notices may be wrapped. A predicted family counts only if a template of the same family confirms it: at least
 CONFIRM of the template's pairs of neighbouring content words stand in the window. As that
-takes CONTENT_WORDS distinct content words of the templates, lines with fewer are
+takes CONTENT_WORDS distinct content words of the templates, texts and windows with fewer are
 skipped without changing any result.
 
 Null texts count as empty, without spans; rows of a repeated or null doc_id are each
@@ -221,30 +221,35 @@ def fit(seed: int = 11) -> Classifier:
     return model
 
 
+def lowered(text: str) -> tuple[str, list[int] | None]:
+    """The lower-case text, and the place in the text of each of its characters where they differ."""
+    low = text.lower()
+    return low, None if len(low) == len(text) else [i for i, c in enumerate(text) for _ in c.lower()]
+
+
 def spans(text: str, model: Classifier) -> list[tuple[int, int, str, float]]:
     """(start, end, family, probability) of the notices of a whole text, by start."""
     out: list[tuple[int, int, str, float]] = []
-    base = 0
-    for line in text.split("\n"):
-        low = line.lower()
-        if len(CONTENT.intersection(_WORD.findall(low))) >= CONTENT_WORDS:
-            places = [m.span() for m in _WORD.finditer(low)]
-            found = [low[a:b] for a, b in places]
-            shift = len(low) == len(line)  # a letter whose lower case is longer moves places: then the whole line is the span
-            for k in range(0, max(1, len(found) - WINDOW // 2), WINDOW // 2):
-                window = found[k : k + WINDOW]
-                if len(CONTENT.intersection(window)) < CONTENT_WORDS:
-                    continue
-                family, p = model.predict(window)
-                if family is None or confirmed(family, pairs(window)) < CONFIRM:
-                    continue
-                hits = [i for i, w in enumerate(window) if w in CONTENT]
-                a, b = (base + places[k + hits[0]][0], base + places[k + hits[-1]][1]) if shift else (base, base + len(line))
-                if out and out[-1][2] == family and a <= out[-1][1]:
-                    out[-1] = (out[-1][0], max(b, out[-1][1]), family, max(p, out[-1][3]))
-                else:
-                    out.append((a, b, family, p))
-        base += len(line) + 1
+    low, origin = lowered(text)
+    if len(CONTENT.intersection(_WORD.findall(low))) < CONTENT_WORDS:
+        return out
+    places = [m.span() for m in _WORD.finditer(low)]
+    found = [low[a:b] for a, b in places]
+    for k in range(0, max(1, len(found) - WINDOW // 2), WINDOW // 2):
+        window = found[k : k + WINDOW]
+        if len(CONTENT.intersection(window)) < CONTENT_WORDS:
+            continue
+        family, p = model.predict(window)
+        if family is None or confirmed(family, pairs(window)) < CONFIRM:
+            continue
+        hits = [i for i, w in enumerate(window) if w in CONTENT]
+        a, b = places[k + hits[0]][0], places[k + hits[-1]][1]
+        if origin:
+            a, b = origin[a], origin[b - 1] + 1
+        if out and out[-1][2] == family and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]), family, max(p, out[-1][3]))
+        else:
+            out.append((a, b, family, p))
     return out
 
 
