@@ -7,11 +7,13 @@ and the notices' own words out of order. Probabilities are calibrated on a third
 variants that the fit doesn't see: a temperature is chosen by likelihood, then the least
 probability at which at most FALSE_SHARE of the unknown ones pass. What stays below is unknown.
 
-Every whole text is read in windows of WINDOW words, half overlapping; line breaks only
-part words, so notices may be wrapped. A predicted family counts only if a template of the same family confirms it: at least
-CONFIRM of the template's pairs of neighbouring content words stand in the window. As that
-takes CONTENT_WORDS distinct content words of the templates, texts and windows with fewer are
-skipped without changing any result.
+Line breaks only part words, so notices may be wrapped. In the words of every whole text, a
+template is confirmed where at least CONFIRM of its pairs of neighbouring content words stand
+within WINDOW words. Each such stretch, cut to its first and last pair, is classified by itself, and
+counts if the predicted family is the template's, so notices side by side are each
+reported. Where templates of two families hold the same words (half of a stretch's pairs), the
+larger share of a template wins. As a stretch takes CONTENT_WORDS distinct content words of the
+templates, texts with fewer are skipped without changing any result.
 
 Null texts count as empty, without spans; rows of a repeated or null doc_id are each
 scanned; extra columns are ignored; an empty table gives an empty result.
@@ -122,15 +124,16 @@ def grams(found: list[str]) -> set[str]:
 
 
 TEMPLATE_PAIRS = {f: [pairs(words(t)) for t in ts] for f, ts in TEMPLATES.items()}
+#: Templates (family, number) that hold a pair.
+HOLDERS_OF: dict[tuple[str, str], list[tuple[str, int]]] = {}
+for _family, _templates in TEMPLATE_PAIRS.items():
+    for _k, _pairs in enumerate(_templates):
+        for _pair in _pairs:
+            HOLDERS_OF.setdefault(_pair, []).append((_family, _k))
 #: Content words of all templates.
 CONTENT = frozenset(w for ts in TEMPLATES.values() for t in ts for w in words(t) if w not in STOP)
 
 
-def confirmed(family: str, held: set[tuple[str, str]]) -> float:
-    """Largest share of a template's pairs that are held."""
-    return max(len(t & held) / len(t) for t in TEMPLATE_PAIRS[family])
-
-
 def variants(rng: np.random.Generator) -> tuple[list[list[str]], np.ndarray]:
     """Training lines as words, with their class: 0 unknown, else the family's number."""
     lines, classes = [], []
@@ -227,28 +230,71 @@ def lowered(text: str) -> tuple[str, list[int] | None]:
     return low, None if len(low) == len(text) else [i for i, c in enumerate(text) for _ in c.lower()]
 
 
+def stretches(found: list[str]) -> list[tuple[int, int, str, set[int]]]:
+    """(first word, last word, family, places of held pairs) where a template is confirmed, the largest share first.
+
+    For each template, those are places of at most WINDOW words that don't overlap, from a held
+    pair to another; fuller ones go before shorter ones.
+    """
+    content = [i for i, w in enumerate(found) if w not in STOP]
+    hits: dict[tuple[str, int], list[tuple[int, int, tuple[str, str]]]] = {}
+    for a, b in zip(content, content[1:]):
+        pair = (found[a], found[b])
+        for at in HOLDERS_OF.get(pair, ()):
+            hits.setdefault(at, []).append((a, b, pair))
+    out = []
+    for (family, k), held in hits.items():
+        size = len(TEMPLATE_PAIRS[family][k])
+        least = CONFIRM * size
+        if len({pair for _, _, pair in held}) < least:
+            continue
+        made = []
+        for i, (first, _, _) in enumerate(held):
+            seen, last = set(), first
+            for _, b, pair in held[i : i + WINDOW]:
+                if b - first >= WINDOW:
+                    break
+                if pair not in seen:
+                    seen.add(pair)
+                    last = b
+            if len(seen) >= least:
+                made.append((-len(seen), last - first, first, last, i))
+        taken: set[int] = set()
+        for n, _, first, last, i in sorted(made):
+            if taken.isdisjoint(range(first, last + 1)):
+                taken.update(range(first, last + 1))
+                out.append((n / size, n, first, last, family, {a for a, b, _ in held[i : i + WINDOW] if b <= last}))
+    return [s[2:] for s in sorted(out, key=lambda s: s[:5])]
+
+
 def spans(text: str, model: Classifier) -> list[tuple[int, int, str, float]]:
     """(start, end, family, probability) of the notices of a whole text, by start."""
-    out: list[tuple[int, int, str, float]] = []
     low, origin = lowered(text)
-    if len(CONTENT.intersection(_WORD.findall(low))) < CONTENT_WORDS:
-        return out
+    found = _WORD.findall(low)
+    if len(CONTENT.intersection(found)) < CONTENT_WORDS:
+        return []
+    known = []
+    taken: dict[int, str] = {}
+    for first, last, family, places in stretches(found):
+        said, p = model.predict(found[first : last + 1])
+        if said == family and 2 * sum(taken.get(a, family) != family for a in places) <= len(places):
+            known.append((first, last, family, p))
+            for a in places:
+                taken.setdefault(a, family)
+    if not known:
+        return []
     places = [m.span() for m in _WORD.finditer(low)]
-    found = [low[a:b] for a, b in places]
-    for k in range(0, max(1, len(found) - WINDOW // 2), WINDOW // 2):
-        window = found[k : k + WINDOW]
-        if len(CONTENT.intersection(window)) < CONTENT_WORDS:
-            continue
-        family, p = model.predict(window)
-        if family is None or confirmed(family, pairs(window)) < CONFIRM:
-            continue
-        hits = [i for i, w in enumerate(window) if w in CONTENT]
-        a, b = places[k + hits[0]][0], places[k + hits[-1]][1]
+    out: list[tuple[int, int, str, float]] = []
+    last_of: dict[str, int] = {}
+    for first, last, family, p in sorted(known):
+        a, b = places[first][0], places[last][1]
         if origin:
             a, b = origin[a], origin[b - 1] + 1
-        if out and out[-1][2] == family and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]), family, max(p, out[-1][3]))
+        k = last_of.get(family)
+        if k is not None and a <= out[k][1]:
+            out[k] = (out[k][0], max(b, out[k][1]), family, max(p, out[k][3]))
         else:
+            last_of[family] = len(out)
             out.append((a, b, family, p))
     return out
 

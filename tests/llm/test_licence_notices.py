@@ -28,3 +28,23 @@ def test_wrapped_notices(model, family):
         (start, end, found, _), *more = licences.spans(text, model)
         assert found == family and not more
         assert text[start:].split()[0] in notice.split()[:3] and "\n" in text[start:end]
+
+
+DUAL = [
+    ("Released under the MIT License. Licensed under the Apache License, Version 2.0.", "Apache MIT"),
+    ("Licensed under CC BY 4.0. Licensed under the BSD 3-Clause License. Released under the GNU GPL version 2 or later.", "BSD CC-BY GPL"),
+    (f"{WRAPPED['MIT']}\n{WRAPPED['BSD']}", "BSD MIT"),
+    ("This work is licensed under the GNU General Public License, version 3. Licensed under the GNU Affero General Public License, version 3.", "AGPL GPL"),
+]
+
+
+@pytest.mark.parametrize("text, families", DUAL)
+def test_notices_side_by_side(model, text, families):
+    assert " ".join(sorted(s[2] for s in licences.spans(text, model))) == families
+
+
+def test_every_two_templates(model):
+    every = [(f, t) for f, ts in licences.TEMPLATES.items() for t in ts]
+    for f, a in every:
+        for g, b in every:
+            assert {s[2] for s in licences.spans(f"{a} {b}", model)} == {f, g}, (a, b)
