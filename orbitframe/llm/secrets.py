@@ -2,7 +2,7 @@
 
 Base spans come from three patterns (assignments to secret-like names, access keys, long
 hexadecimal runs). The battery looks at every run of MIN_CHARS or more characters of
-[A-Za-z0-9+/_-] with letters and digits in it. Its encoding is inferred from the
+[A-Za-z0-9+/_-], long words among them. Its encoding is inferred from the
 characters it holds (hexadecimal, base 32, lower-case or upper-case letters and digits,
 all letters and digits, base 64) and three tests ask whether it could be uniformly random in
 that encoding: a chi-squared test that the alphabet's equal parts are hit evenly, a runs
@@ -48,8 +48,6 @@ KINDS = ("assign", "access", "hex")
 #: Least characters: of an assigned value, an access key, a tested run.
 ASSIGN_CHARS, ACCESS_CHARS, MIN_CHARS = 6, 20, 16
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
-_DIGIT = re.compile(r"[0-9]")
-_LETTER = re.compile(r"[A-Za-z]")
 ALPHA, LEVEL = 0.001, 0.01
 #: Histogram of e-values: all from 2**1000 on, more than any threshold, count as one step.
 TOP_STEP = 4000
@@ -144,11 +142,7 @@ def e_value(token: str) -> float:
 
 def tested(text: str) -> list[tuple[int, int, float]]:
     """(start, end, log2 e-value) of every run the battery looks at."""
-    out = []
-    for m in _RUN.finditer(text):
-        if _DIGIT.search(m[0]) and _LETTER.search(m[0]):
-            out.append((*m.span(), e_value(m[0])))
-    return out
+    return [(*m.span(), e_value(m[0])) for m in _RUN.finditer(text)]
 
 
 def scan(spark: SparkSession, docs: DataFrame, level: float = LEVEL) -> DataFrame:
