@@ -1,7 +1,7 @@
 """Token ids as binary files: each document compressed apart with a shared dictionary.
 
-A zstandard dictionary is trained on the serialised ids of at most SAMPLE_ROWS documents
-(those of smallest hash of doc_id). Every document's ids, end id last, are compressed by
+A zstandard dictionary is trained on all ids of at most SAMPLE_ROWS documents (those of smallest
+hash of doc_id), serialised in pieces of at most SAMPLE_BYTES with all their bytes. Every document's ids, end id last, are compressed by
 themselves with it, dealt to shards by ranges of doc_id, sorted, and packed into segments.
 
 A segment is one binary value: a header (magic, version, bytes per id, SHA-256 of the
@@ -35,7 +35,7 @@ from .bpe import encoder, read_vocabulary
 from .common import clean_text, new_path
 
 SAMPLE_ROWS = 1000
-#: Bytes of one document in the training sample, and of the dictionary.
+#: Bytes of one piece of a document in the training sample, and of the dictionary.
 SAMPLE_BYTES, DICTIONARY_BYTES = 16_384, 65_536
 #: A segment is closed at this many documents or compressed bytes.
 SEGMENT_DOCS, SEGMENT_BYTES = 512, 1 << 20
@@ -80,13 +80,19 @@ def write_files(spark: SparkSession, docs: DataFrame, vocabulary_path: str, path
     vocabulary = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     width = 2 if encoder(vocabulary.value).tokenizer.get_vocab_size() <= 1 << 16 else 4
 
-    def serialised(texts: pa.Array) -> Iterator[tuple[int, bytes]]:
+    def ended(texts: pa.Array) -> Iterator[np.ndarray]:
         for ids in encoder(vocabulary.value).batch(texts):
-            yield len(ids) + 1, pack_ids(np.append(ids, np.uint32(end_id)), width)
+            yield np.append(ids, np.uint32(end_id))
+
+    def serialised(texts: pa.Array) -> Iterator[tuple[int, bytes]]:
+        for ids in ended(texts):
+            yield len(ids), pack_ids(ids, width)
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = SAMPLE_BYTES // width
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([data[:SAMPLE_BYTES] for _, data in serialised(batch.column("_of_text"))], pa.binary())], ["data"])
+            data = [pack_ids(ids[k : k + step], width) for ids in ended(batch.column("_of_text")) for k in range(0, len(ids), step)]
+            yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], ["data"])
 
     texts = docs.select("doc_id", clean_text().alias("_of_text"))
     chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
