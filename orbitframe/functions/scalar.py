@@ -96,6 +96,31 @@ def window_high(low: Column, last: Column, size: Column) -> Column:
     return F.greatest(low + 1, F.least(last, size))
 
 
+def bounds_window(first: Column, last: Column, origin: float | Column, step: float | Column, size: Column) -> Column:
+    """Struct (start, end) of the pixels between two bounds along an axis of size pixels.
+
+    Offsets are rounded half to even and held inside the raster; null where the window lies outside.
+    first comes before last in the direction of step (for rows: top, bottom, a negative step).
+    """
+    offset = (first - origin) / step
+    start = F.greatest(F.lit(0), F.bround(offset).cast("int"))
+    end = F.least(size, F.bround(offset + (last - first) / step).cast("int"))
+    return F.when((start < size) & (end > 0), F.struct(start.alias("start"), end.alias("end")))
+
+
+def patch_affine(x0: Column, y0: Column, patch: int, width: int, height: int, bounds: tuple[float, float, float, float]) -> Column:
+    """Struct (dx, left, dy, top) of the affine of a patch in a raster of geographic bounds (left, bottom, right, top).
+
+    The patch's bounds are its share of the raster's; dx and dy (negative) follow from its clipped size.
+    """
+    left, bottom, right, top = map(float, bounds)
+    wide, tall = F.least(F.lit(patch), width - x0), F.least(F.lit(patch), height - y0)
+    at = lambda k, n: F.least(k / n, F.lit(1.0))
+    west, east = left + at(x0, width) * (right - left), left + at(x0 + wide, width) * (right - left)
+    north, south = top - at(y0, height) * (top - bottom), top - at(y0 + tall, height) * (top - bottom)
+    return F.struct(((east - west) / wide).alias("dx"), west.alias("left"), (-(north - south) / tall).alias("dy"), north.alias("top"))
+
+
 def patch_key(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """xmin_ymin_xmax_ymax."""
     return F.concat_ws("_", *(c.cast("string") for c in (x0, y0, x1, y1)))

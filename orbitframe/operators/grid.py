@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import scalar
+from . import geometry
 
 
 def patch_grid(spark: SparkSession, width: int, height: int, size: int) -> DataFrame:
@@ -134,11 +135,41 @@ def envelope(boxes: DataFrame, by: str) -> DataFrame:
     return boxes.groupBy(by).agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
 
 
-def clip(pixels: DataFrame, boxes: DataFrame, clip_box: tuple[float, float, float, float], by: str) -> DataFrame:
-    """Pixels (by, x, y, ...) within clip_box, with clipped: whether the group's own box needed clipping."""
+def _crosses(a: tuple[float, float], b: tuple[float, float]) -> Column:
+    """Whether the edge from a to b passes through the inner part of the box (x0, y0, x1, y1)."""
+    low, high, hit = [F.lit(-1.0), F.lit(-1.0)], [F.lit(2.0), F.lit(2.0)], F.lit(True)  # shares of the edge
+    for k, (near, far) in enumerate((("x0", "x1"), ("y0", "y1"))):
+        step = b[k] - a[k]
+        if step:
+            ends = (F.col(near) - a[k]) / step, (F.col(far) - a[k]) / step
+            low.append(F.least(*ends))
+            high.append(F.greatest(*ends))
+        else:
+            hit = hit & (F.col(near) < a[k]) & (F.col(far) > a[k])
+    first, last = F.greatest(*low), F.least(*high)
+    return hit & (first < last) & (first < 1) & (last > 0)
+
+
+def clip(
+    pixels: DataFrame, boxes: DataFrame, clip_box: tuple[float, float, float, float], by: str, polygon: list[tuple[float, float]] | None = None
+) -> DataFrame:
+    """Pixels (by, x, y, ...) within clip_box and the polygon, with clipped: whether the group's own box needed clipping.
+
+    polygon holds the corners of a simple ring in order. A box that lies in it and in clip_box is
+    kept as it is; a box without a common part with them has no pixels left.
+    """
     x0, y0, x1, y1 = map(float, clip_box)
-    flags = boxes.select(by, ((F.col("x0") < x0) | (F.col("y0") < y0) | (F.col("x1") > x1) | (F.col("y1") > y1)).alias("clipped"))
-    return pixels.join(flags, by).filter(~F.col("clipped") | (F.col("x").between(x0, x1) & F.col("y").between(y0, y1)))
+    out = (F.col("x0") < x0) | (F.col("y0") < y0) | (F.col("x1") > x1) | (F.col("y1") > y1)
+    held = F.col("x").between(x0, x1) & F.col("y").between(y0, y1)
+    if polygon is not None:
+        corners = [(float(x), float(y)) for x, y in polygon]
+        points = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in corners])
+        for a, b in zip(corners, corners[1:] + corners[:1]):
+            out = out | _crosses(a, b)
+        out = out | ~geometry.inside((F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2, points)
+        held = held & geometry.inside(F.col("x"), F.col("y"), points)
+    flags = boxes.select(by, out.alias("clipped"))
+    return pixels.join(flags, by).filter(~F.col("clipped") | held)
 
 
 def last_of(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
