@@ -9,16 +9,21 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Upper bound of one bitmap filter: 2**27 bits for each of its two hashes, 32 MB in all.
+#: A bitmap filter of up to 2**MAX_FILTER_BITS bits (16 MB) is broadcast. A larger one stays a
+#: table, and the hashes to be checked are joined to its blocks by a shuffle of their own.
 MAX_FILTER_BITS = 27
+#: Bits of a filter's block: the positions of one of Spark's bitmap buckets.
+BLOCK_BITS = 15
 #: Groups resolved through a broadcast table; every other group then holds at most
 #: 1 / HOT_GROUPS of all rows.
 HOT_GROUPS = 10_000
 
 _written: list[tuple[SparkSession, str]] = []
+_registered = False
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,8 +37,9 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def _remove() -> None:
-    for spark, path in _written:
+def _remove(first: int = 0) -> None:
+    gone, _written[first:] = _written[first:], []
+    for spark, path in gone:
         try:
             hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
@@ -43,13 +49,26 @@ def _remove() -> None:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the driver's Python ends."""
-    if not _written:
+    global _registered
+    if not _registered:
         atexit.register(_remove)
+        _registered = True
     path = f"{shared_dir(spark)}/orbitframe-{name}-{uuid.uuid4().hex}"
     _written.append((spark, path))
     return path
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """make()'s rows as a table in the shared folder; the tables that make() wrote on its way are removed."""
+    first = len(_written)
+    made = make()
+    path = f"{shared_dir(spark)}/orbitframe-{name}-{uuid.uuid4().hex}"
+    made.write.parquet(path)
+    _remove(first)
+    _written.append((spark, path))
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors."""
     path = new_path(spark, name)
@@ -63,44 +82,45 @@ def clean_text(column: str = "text") -> Column:
 
 
 def filter_bits(rows: int) -> int:
-    """log2 of a filter's bits: 8 to 16 bits a row, never more than MAX_FILTER_BITS."""
-    return min(MAX_FILTER_BITS, max(10, (8 * max(rows, 1)).bit_length()))
+    """log2 of a filter's bits: 8 to 16 bits a row."""
+    return max(10, (8 * max(rows, 1)).bit_length())
 
 
 def _cells(hashed: Column, bits: int) -> tuple[Column, Column]:
-    """Two cells of a 64-bit hash, numbered from 1; the second lies in the upper half."""
-    mask = F.lit((1 << bits) - 1)
-    first = hashed.bitwiseAND(mask) + 1
-    second = F.shiftrightunsigned(hashed, 36).bitwiseAND(mask) + F.lit((1 << bits) + 1)
-    return first, second
+    """Two cells of a 64-bit hash, numbered from 1, in one block of the filter."""
+    block = hashed.bitwiseAND(F.lit((1 << max(bits - BLOCK_BITS, 0)) - 1)) * F.lit(1 << BLOCK_BITS)
+    inner = F.lit((1 << min(bits, BLOCK_BITS)) - 1)
+    return tuple(block + F.shiftrightunsigned(hashed, by).bitwiseAND(inner) + F.lit(1) for by in (34, 49))
 
 
 def bitmap_filter(hashes: DataFrame, hashed: str, bits: int, at_least: int = 1) -> DataFrame:
-    """A Bloom filter as rows (bucket, bitmap of 4 KB): a cell is set if at_least rows hit it.
+    """A blocked Bloom filter as rows (block, bitmap of 4 KB): a cell is set if at_least rows hit it.
 
-    Only 8-byte cells are counted, after partial aggregation. The table has at most
-    2 * 2**bits / 32768 rows, so its size is bounded by the parameter alone.
+    Only 8-byte cells are counted, after partial aggregation.
     """
     cells = hashes.select(F.explode(F.array(*_cells(F.col(hashed), bits))).alias("_of_cell"))
     cells = cells.groupBy("_of_cell").agg(F.count(F.lit(1)).alias("_of_n")).filter(F.col("_of_n") >= at_least)
-    return cells.groupBy(F.bitmap_bucket_number("_of_cell").alias("_of_bucket")).agg(
+    return cells.groupBy(F.bitmap_bucket_number("_of_cell").alias("_of_block")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("_of_cell")).alias("_of_map")
     )
 
 
 def with_maybe(df: DataFrame, hashed: str, bits: int, bitmaps: DataFrame, out: str = "_of_maybe") -> DataFrame:
-    """Adds out: whether both cells of the hash are set. No row moves; the filter is broadcast."""
-    cells = dict(zip(("_of_c1", "_of_c2"), _cells(F.col(hashed), bits)))
-    df = df.withColumns(cells)
-    hit = F.lit(True)
-    for i, name in enumerate(cells):
-        side = F.broadcast(bitmaps.select(F.col("_of_bucket").alias(f"_of_b{i}"), F.col("_of_map").alias(f"_of_m{i}")))
-        df = df.join(side, F.bitmap_bucket_number(F.col(name)) == F.col(f"_of_b{i}"), "left")
-        at = F.bitmap_bit_position(F.col(name))
-        byte = F.conv(F.hex(F.substring(F.col(f"_of_m{i}"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    """Adds out: whether both cells of the hash are set, by one join on the hash's block.
+
+    A filter of up to MAX_FILTER_BITS is broadcast, so no row moves.
+    """
+    first, second = _cells(F.col(hashed), bits)
+    side = F.broadcast(bitmaps) if bits <= MAX_FILTER_BITS else bitmaps
+    joined = df.join(side, F.bitmap_bucket_number(first) == F.col("_of_block"), "left")
+
+    def held(cell: Column) -> Column:
+        at = F.bitmap_bit_position(cell)
+        byte = F.conv(F.hex(F.substring(F.col("_of_map"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
         bit = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (at % 8 + 1).cast("int"))
-        hit = hit & F.coalesce(byte.bitwiseAND(bit) > 0, F.lit(False))
-    return df.withColumn(out, hit).drop("_of_c1", "_of_c2", "_of_b0", "_of_b1", "_of_m0", "_of_m1")
+        return F.coalesce(byte.bitwiseAND(bit) > 0, F.lit(False))
+
+    return joined.withColumn(out, held(first) & held(second)).drop("_of_block", "_of_map")
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
@@ -123,12 +143,13 @@ def packed(docs: DataFrame, *columns: str) -> DataFrame:
 def drop_ids(spark: SparkSession, docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """docs without the rows whose doc_id is in dropped (doc_id).
 
-    A bounded bitmap filter lets nearly all other rows pass where they are; only rows
-    that it may hold are shuffled and compared exactly. Rows of null doc_id stay.
+    A bitmap filter lets nearly all other rows pass where they are; only rows that it may
+    hold are shuffled and compared exactly. Rows of null doc_id stay; an empty table of
+    either kind drops nothing.
     """
     dropped = written(spark, dropped.select(F.col("doc_id").alias("_of_gone")).filter("_of_gone is not null").distinct(), "dropped")
     bits = filter_bits(dropped.count())
-    bitmaps = bitmap_filter(dropped.select(F.xxhash64("_of_gone").alias("_of_h")), "_of_h", bits)
+    bitmaps = written(spark, bitmap_filter(dropped.select(F.xxhash64("_of_gone").alias("_of_h")), "_of_h", bits), "filter")
     marked = with_maybe(packed(docs, "doc_id").withColumn("_of_h", F.xxhash64("_of_doc_id")), "_of_h", bits, bitmaps)
     sure = marked.filter(~F.col("_of_maybe")).select("_of_doc.*")
     rest = marked.filter("_of_maybe").join(dropped, F.col("_of_doc_id") == F.col("_of_gone"), "left_anti").select("_of_doc.*")

@@ -1,10 +1,12 @@
 """Exact deduplication by two passes of Bloom filtering; DataFrame functions only.
 
-Pass 1 hashes every normalised text and counts filter cells: a cell hit twice marks
-its hashes as possibly repeated. Pass 2 checks each row against the broadcast filter
-(its size is bounded by a parameter): rows it clears are unique for certain and pass
-straight through; only the others are shuffled, on the SHA-256 of the whole text.
-A full filter clears fewer rows and so costs shuffle, never results.
+Pass 1 hashes every normalised text and counts the cells of a blocked Bloom filter: a
+cell hit twice marks its hashes as possibly repeated. The filter has 8 to 16 bits a row
+at any size. Pass 2 checks each row against it: rows it clears are unique for certain
+and pass straight through; only the others are shuffled, on the SHA-256 of the whole
+text. A filter of up to 2**MAX_FILTER_BITS bits is broadcast; a larger one is a table
+of blocks to which the hashes are joined, so then each row's fingerprint moves once,
+but never its text.
 
 Texts are equal when identical after deleting every character of [\\x20\\x09-\\x0D];
 null counts as empty. Of equal texts the row with the most code points stays, then the
@@ -29,24 +31,22 @@ def exact_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of docs."""
     text = clean_text()
     prints = docs.select("doc_id", F.sha2(normalised(text).cast("binary"), 256).alias("text_sha256"), F.char_length(text).alias("_of_len"))
-    prints = written(spark, prints, "prints").withColumn("_of_row", F.monotonically_increasing_id())
-    prints = written(spark, prints, "prints").withColumn("_of_h", F.xxhash64("text_sha256"))
+    # the row number is fixed by the write, so later reads of the table agree on it
+    prints = prints.withColumns({"_of_row": F.monotonically_increasing_id(), "_of_h": F.xxhash64("text_sha256")})
+    prints = written(spark, prints, "prints")
     bits = filter_bits(prints.count())
-    repeated = bitmap_filter(prints.select("_of_h"), "_of_h", bits, at_least=2)
+    repeated = written(spark, bitmap_filter(prints.select("_of_h"), "_of_h", bits, at_least=2), "filter")
     marked = with_maybe(prints, "_of_h", bits, repeated)
 
     sure = marked.filter(~F.col("_of_maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
     )
-    maybe = marked.filter("_of_maybe").select("doc_id", "text_sha256", "_of_len", "_of_row")
-    best = F.max(F.struct("_of_len", (-F.col("doc_id")).alias("id"), (-F.col("_of_row")).alias("row")))
-    groups = maybe.groupBy("text_sha256").agg(best.alias("_of_best"), F.count(F.lit(1)).alias("group_size"))
+    maybe = written(spark, marked.filter("_of_maybe").select("doc_id", "text_sha256", "_of_len", "_of_row"), "maybe")
+    # most code points first, then the smallest doc_id with nulls last, then the first row
+    best = F.min(F.struct((-F.col("_of_len")).alias("less"), F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.col("_of_row").alias("row")))
+    groups = written(spark, maybe.groupBy("text_sha256").agg(best.alias("_of_best"), F.count(F.lit(1)).alias("group_size")), "groups")
     rest = join_groups(maybe, groups, ["text_sha256"], "group_size").select(
-        "doc_id",
-        (-F.col("_of_best.id")).alias("keep_id"),
-        "group_size",
-        (F.col("_of_row") == -F.col("_of_best.row")).alias("kept"),
-        "text_sha256",
+        "doc_id", F.col("_of_best.id").alias("keep_id"), "group_size", (F.col("_of_row") == F.col("_of_best.row")).alias("kept"), "text_sha256"
     )
     return sure.unionByName(rest)
 
@@ -55,13 +55,14 @@ def without_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of docs that exact_dedup keeps, with all their columns.
 
     Rows outside every repeated group stay where they are. Rows that share doc_id and
-    text count as one row even if their other columns differ.
+    text count as one row even if their other columns differ. Null and empty texts are
+    equal texts; a null doc_id is a doc_id of its own; an empty table stays empty.
     """
-    decided = written(spark, exact_dedup(spark, docs).filter("group_size > 1"), "groups")
+    decided = exact_dedup(spark, docs).filter("group_size > 1")
     decided = decided.groupBy(F.col("doc_id").alias("_of_id"), F.col("text_sha256").alias("_of_sha")).agg(F.max("kept").alias("_of_kept"), F.count(F.lit(1)).alias("_of_n"))
     decided = written(spark, decided, "decided")
     bits = filter_bits(decided.count())
-    bitmaps = bitmap_filter(decided.select(F.xxhash64("_of_id").alias("_of_h")), "_of_h", bits)
+    bitmaps = written(spark, bitmap_filter(decided.select(F.xxhash64("_of_id").alias("_of_h")), "_of_h", bits), "filter")
     marked = with_maybe(packed(docs, "doc_id", "text").withColumn("_of_h", F.xxhash64("_of_doc_id")), "_of_h", bits, bitmaps)
     sure = marked.filter(~F.col("_of_maybe")).select("_of_doc.*")
     rest = marked.filter("_of_maybe").withColumn("_of_doc_sha", F.sha2(normalised(clean_text("_of_text")).cast("binary"), 256))
