@@ -6,7 +6,9 @@ with the mention of a group count beyond the sum of their weights.
 
 The machine is fitted on at most TRAIN_ROWS labelled rows (those of smallest hash of
 doc_id, so a rerun takes the same), as rows of term buckets, by AdaGrad with a shrinkage of
-weights that few rows support. Scoring is one narrow pass over all whole texts.
+weights that few rows support. Terms are counted and chosen in Spark, and the fit runs in one
+executor task, whose memory the bound of rows and terms limits. Scoring is one narrow pass
+over all whole texts.
 
 Null texts count as empty; an empty text scores the bias. Labels that are null are left
 out; of several labels for one doc_id the largest counts, of several texts one. Without
@@ -16,6 +18,7 @@ columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.workers import ship
-from .common import clean_text
+from .common import clean_text, written
 
 #: Bound of the rows the machine is fitted on.
 TRAIN_ROWS = 16_000
@@ -91,38 +94,46 @@ def segment_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return sums[ends[1:]] - sums[ends[:-1]]
 
 
+def chosen(support: np.ndarray, ones: np.ndarray, n: int, positive: int) -> np.ndarray:
+    """Whether a term takes part, from its rows (all, of label 1) and the rows in all."""
+    share = (positive + 0.5) / (n + 1)
+    apart = (ones - support * share) ** 2 / np.maximum(support * share * (1 - share), 1e-9)
+    return (support >= MIN_ROWS) & ((apart >= MIN_CHI) | (support >= COMMON * n))
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> Machine:
     """Fits the machine to rows of distinct term buckets and 0/1 labels."""
-    index = np.full(BUCKETS, -1, np.int32)
-    if not len(rows):
-        return Machine(-np.inf, index, np.zeros(0), np.zeros((0, FACTORS)))
     support, ones = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for row, label in zip(rows, labels):  # a row's buckets are distinct
         support[row] += 1
         ones[row] += int(label > 0)
-    share = (labels.sum() + 0.5) / (len(labels) + 1)
-    apart = (ones - support * share) ** 2 / np.maximum(support * share * (1 - share), 1e-9)
-    used = np.flatnonzero((support >= MIN_ROWS) & ((apart >= MIN_CHI) | (support >= COMMON * len(rows))))
+    index = np.full(BUCKETS, -1, np.int32)
+    used = np.flatnonzero(chosen(support, ones, len(rows), int(np.sum(labels))))
     index[used] = np.arange(len(used))
+    return fit_places([index[r][index[r] >= 0] for r in rows], np.asarray(labels, float), index, len(used), seed)
+
+
+def fit_places(rows: list[np.ndarray], labels: np.ndarray, index: np.ndarray, used: int, seed: int = 5) -> Machine:
+    """Fits the machine to rows of distinct places of the chosen terms; one batch's sums are held at a time."""
+    if not len(rows):
+        return Machine(-np.inf, np.full(BUCKETS, -1, np.int32), np.zeros(0), np.zeros((0, FACTORS)))
+    share = (labels.sum() + 0.5) / (len(labels) + 1)
     rng = np.random.default_rng(seed)
-    model = Machine(float(np.log(share / (1 - share))), index, np.zeros(len(used)), rng.normal(0, 0.01, (len(used), FACTORS)))
-    if not len(used) or labels.min() == labels.max():
+    model = Machine(float(np.log(share / (1 - share))), index, np.zeros(used), rng.normal(0, 0.01, (used, FACTORS)))
+    if not used or labels.min() == labels.max():
         return model
-    places = [index[r][index[r] >= 0] for r in rows]
     order = rng.permutation(len(rows))
-    batches = []
-    for k in range(0, len(order), BATCH):
-        chosen = order[k : k + BATCH]
-        flat = np.concatenate([places[i] for i in chosen])
-        owner = np.repeat(np.arange(len(chosen), dtype=np.int32), [len(places[i]) for i in chosen])
-        sort = np.argsort(flat, kind="stable").astype(np.int32)
-        unique, starts = np.unique(flat[sort], return_index=True)
-        batches.append((flat, np.cumsum([0, *(len(places[i]) for i in chosen)]), owner, sort, unique, starts, labels[chosen]))
-    grown_b, grown_w, grown_v = 1e-6, np.full(len(used), 1e-6), np.full((len(used), FACTORS), 1e-6)
+    grown_b, grown_w, grown_v = 1e-6, np.full(used, 1e-6), np.full((used, FACTORS), 1e-6)
     for _ in range(EPOCHS):
-        for flat, ends, owner, sort, unique, starts, y in batches:
+        for k in range(0, len(order), BATCH):
+            batch = order[k : k + BATCH]
+            flat, y = np.concatenate([rows[i] for i in batch]), labels[batch]
             if not len(flat):
                 continue
+            sizes = [len(rows[i]) for i in batch]
+            ends, owner = np.cumsum([0, *sizes]), np.repeat(np.arange(len(batch)), sizes)
+            sort = np.argsort(flat, kind="stable")
+            unique, starts = np.unique(flat[sort], return_index=True)
             part = model.factors[flat]
             total = segment_sums(part, ends)
             pairs = 0.5 * (total * total - segment_sums(part * part, ends)).sum(axis=1)
@@ -147,22 +158,49 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine:
-    """Fits on at most `rows` labelled documents outside the held-out fold."""
+    """Fits on at most `rows` labelled documents outside the held-out fold.
+
+    Spark counts the terms and chooses those that take part; the machine is fitted in one
+    executor task over the rows' chosen terms, and only it comes to the driver.
+    """
     ship(spark)
     known = labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("_of_y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted({b for w in words(x) for b in buckets(w)}) for x in batch.column("_of_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_of_y"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "_of_y", "found"])
+            for start in range(0, len(batch), 64):
+                part = batch.slice(start, 64)
+                found = [sorted({b for w in words(x) for b in buckets(w)}) for x in part.column("_of_text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("_of_y"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "_of_y", "found"])
 
     texts = docs.select("doc_id", clean_text().alias("_of_text")).join(F.broadcast(known), "doc_id")
-    found = texts.mapInArrow(run, "doc_id long, _of_y double, found array<int>")
-    found = found.groupBy("doc_id").agg(F.min(F.struct("found", "_of_y")).alias("row")).select("doc_id", "row.*").toArrow().sort_by("doc_id")
-    flat = found.column("found").combine_chunks()
-    lists = [np.asarray(x.values, np.int32) for x in flat] if len(found) else []
-    return fit(lists, found.column("_of_y").to_numpy())
+    found = texts.mapInArrow(terms, "doc_id long, _of_y double, found array<int>")
+    found = found.groupBy("doc_id").agg(F.min(F.struct("found", "_of_y")).alias("row")).select("doc_id", "row.*")
+    found = written(spark, found, "terms")
+    facts = found.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_of_y"), F.lit(0.0)).alias("ones")).first()
+    # One row for each bucket of terms, BUCKETS at most.
+    counts = found.select(F.explode("found").alias("term"), "_of_y").groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("_of_y").alias("ones")).filter(F.col("n") >= MIN_ROWS).toArrow()
+    term, support, ones = (counts.column(k).to_numpy() for k in range(3))
+    used = np.sort(term[chosen(support, ones, facts["n"], int(facts["ones"]))])
+    index = np.full(BUCKETS, -1, np.int32)
+    index[used] = np.arange(len(used))
+    shared = spark.sparkContext.broadcast(index)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [(at[at >= 0]).tobytes() for at in (shared.value[np.asarray(x.values, np.int32)] for x in batch.column("found"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_of_y"), pa.array(kept, pa.binary())], ["doc_id", "_of_y", "at"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = sorted((i, y, at) for batch in batches for i, y, at in zip(*(c.to_pylist() for c in batch.columns)))
+        model = fit_places([np.frombuffer(at, np.int32) for _, _, at in kept], np.array([y for _, y, _ in kept]), shared.value, len(used))
+        model.index = np.zeros(0, np.int32)  # the driver has it
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    model = pickle.loads(found.mapInArrow(places, "doc_id long, _of_y double, at binary").repartition(1).mapInArrow(learn, "model binary").first()["model"])
+    model.index = index if facts["n"] else np.full(BUCKETS, -1, np.int32)
+    return model
 
 
 class Scorer:
@@ -207,7 +245,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFra
 
 
 def clean_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that score below 0.5, with all their columns; no row moves."""
+    """The rows of docs that score below 0.5, with all their columns; no row moves.
+
+    Null and empty texts score the bias; rows of a null or repeated doc_id are judged one by
+    one; without labels every row stays; an empty table stays empty.
+    """
     shared = spark.sparkContext.broadcast(train(spark, docs, labels))
     at = docs.columns.index("text")
 
