@@ -6,13 +6,14 @@ shared tokens, the smallest hash of the set under each of as many hash functions
 agree in a coordinate with the chance of their Jaccard similarity.
 
 The join splits recursively. Each run starts from one coordinate and deals the entries
-to buckets by its value; a bucket of more than LIMIT entries is split again by coordinates
-that its path chooses (FANOUT per level). Small buckets are searched by brute force:
-sketches that agree in at least ROUGH of the coordinates become candidates, and of each
-connected part of a bucket a star is kept, as only connection matters at this point. Buckets
-still large at the last level hold sets that agree almost everywhere: each entry is
-compared with its bucket's first, and, in small buckets cut at random, with others. Runs are
+to buckets by its value; a Bloom filter of the values that come up twice lets only those that
+may meet someone go on, with their sketches. A bucket of more than LIMIT entries is split again by
+coordinates that its path chooses (FANOUT per level). Small buckets are searched by brute
+force: sketches that agree in at least ROUGH of the coordinates become candidates, and of each
+connected part of a bucket a star is kept, as only connection matters at this point. A bucket
+still large at the last level is not searched but handed on whole, as one star. Runs are
 repeated until the chance that a pair at the threshold meets in none is under 1 - RECALL.
+The HOT_KEYS largest buckets of a level are never brought together.
 
 Connected candidates form neighbourhoods. Within each, every pair is compared exactly on
 the whole shingle sets, in tiles of at most 2 * TILE entries; this gives exact counts of
@@ -20,8 +21,7 @@ links, and of each tile a spanning forest of the links. Its components are the c
 
 Words are runs of characters without white space, lower-cased; a text of fewer than five
 words is one shingle. Null texts count as empty; texts without words are linked to nothing
-and are classes of their own. Rows of null doc_id are returned with a null class; rows
-that share a doc_id but not the text are linked by the text that is read first. Extra
+and are classes of their own. Rows of null doc_id are returned with a null class;  Extra
 columns are ignored; an empty table gives an empty result.
 """
 
@@ -35,11 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.workers import ship
+from . import common
 from .common import bitmap_filter, clean_text, drop_ids, filter_bits, join_groups, with_maybe, written
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
 COORDINATES, ROUGH = 64, 0.6
 LIMIT, TILE = 64, 256
+#: Buckets of a level whose entries stay where they are; each other one has at most 1 / HOT_KEYS of the rows.
+HOT_KEYS = 1000
 #: Coordinates by which a large bucket is split, level by level below the root.
 FANOUT = (2, 2, 1, 1)
 #: Entries of a worker's cache of word hashes; a full cache starts anew.
@@ -167,79 +170,108 @@ def features(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", clean_text().alias("_of_text")).mapInArrow(run, "doc_id long, n int, fp1 long, fp2 long, sketch array<int>")
 
 
-def _brute_force(buckets: DataFrame) -> DataFrame:
-    """Candidate edges (a, b) of buckets (members: array of (rep, tied, sketch)).
+def _stars(reps: np.ndarray, sketches: np.ndarray) -> list[tuple[int, int]]:
+    """Candidate edges of a small bucket, whose reps ascend: of each connected part from its least rep."""
+    agree = (sketches[:, None, :] == sketches[None, :, :]).sum(axis=2) >= ROUGH * COORDINATES
+    np.fill_diagonal(agree, False)
+    if not agree.any():
+        return []
+    root = np.arange(len(reps))
+    for i, j in forest(agree):
+        root[j] = root[i]
+    star = np.flatnonzero(root != np.arange(len(reps)))
+    return list(zip(reps[root[star]].tolist(), reps[star].tolist()))
 
-    Each member of a connected part gets an edge to the part's least rep, so that runs that
-    find the same part give the same edges. Tied members are known to be connected already
-    and need no edge among each other.
+
+def _meet(rows: DataFrame, last: bool) -> DataFrame:
+    """Rows (a, b, key, sketch) of rows (key, rep, sketch): candidate edges (a, b) of small buckets.
+
+    Entries of large buckets come back as (a, null, key, sketch); at the last level as edges to
+    their bucket's least rep. A bucket streams by in order of rep, LIMIT entries held at most.
     """
+    arrow = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("sketch", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, reps, held, large, least = None, [], [], False, None
         for batch in batches:
-            members = batch.column("members")
-            flat = members.flatten()
-            reps, tied = np.asarray(flat.field("rep")), flat.field("tied").to_numpy(zero_copy_only=False)
-            sketches = np.asarray(flat.field("sketch").flatten(), np.int32).reshape(-1, COORDINATES)
-            ends = np.concatenate([[0], np.cumsum(np.asarray(members.value_lengths()))])
-            edges = []
-            for a, b in zip(ends[:-1], ends[1:]):
-                order = np.argsort(reps[a:b], kind="stable") + a
-                part, known = sketches[order], tied[order]
-                agree = (part[:, None, :] == part[None, :, :]).sum(axis=2) >= ROUGH * COORDINATES
-                np.fill_diagonal(agree, False)
-                if not agree.any():
-                    continue
-                root = np.arange(b - a)
-                for i, j in forest(agree | (known[:, None] & known[None, :])):
-                    root[j] = root[i]
-                star = np.flatnonzero((root != np.arange(b - a)) & ~(known & known[root]))
-                edges += zip(reps[order[root[star]]].tolist(), reps[order[star]].tolist())
-            made = np.array(edges, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(made.min(axis=1, initial=2**63 - 1)), pa.array(made.max(axis=1, initial=-(2**63)))], ["a", "b"])
-
-    return buckets.select("members").mapInArrow(run, "a long, b long")
+            edges: list[tuple[int, int]] = []
+            passed: list[tuple[int, int, np.ndarray]] = []
+            flat = np.asarray(batch.column("sketch").flatten(), np.int32).reshape(-1, COORDINATES)
+            for k, rep, sketch in zip(batch.column("key").to_pylist(), batch.column("rep").to_pylist(), flat):
+                if k != key:
+                    if not large and len(reps) > 1:
+                        edges += _stars(np.array(reps), np.stack(held))
+                    key, reps, held, large, least = k, [], [], False, rep
+                if large and last:
+                    edges.append((least, rep))
+                elif large:
+                    passed.append((rep, k, sketch))
+                else:
+                    reps.append(rep)
+                    held.append(sketch)
+                    large = len(reps) > LIMIT
+                    if large and last:
+                        edges += [(least, r) for r in reps[1:]]
+                    elif large:
+                        passed += [(r, k, s) for r, s in zip(reps, held)]
+            a = [e[0] for e in edges] + [p[0] for p in passed]
+            b = [e[1] for e in edges] + [None] * len(passed)
+            at = [None] * len(edges) + [p[1] for p in passed]
+            sketches = [None] * len(edges) + [p[2] for p in passed]
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((a, b, at, sketches), arrow)], schema=arrow)
+        edges = _stars(np.array(reps), np.stack(held)) if not large and len(reps) > 1 else []
+        yield pa.RecordBatch.from_pylist([{"a": a, "b": b, "key": None, "sketch": None} for a, b in edges], arrow)
+
+    return rows.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(run, "a long, b long, key long, sketch array<int>")
 
 
 def candidates(spark: SparkSession, entries: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """Edges (a, b) between the reps of entries (rep, sketch) that the chosen paths bring together."""
     runs = runs_needed(threshold, recall)
-    value = lambda at: F.element_at("sketch", (at + 1).cast("int"))
-    # the root needs no sketch but one value: only reps that meet someone go on with theirs
-    root = entries.select("rep", F.posexplode(F.slice("sketch", 1, runs)).alias("run", "value"))
-    level = root.select("rep", F.xxhash64("run", "value").alias("key"))
+    keys = F.transform(F.sequence(F.lit(1), F.lit(runs)), lambda r: F.xxhash64(r, F.element_at("sketch", r)))
+    bits = filter_bits(runs * entries.count())
+    filters = written(spark, bitmap_filter(entries.select(F.explode(keys).alias("key")), "key", bits, at_least=2), "filter")
+    if bits <= common.MAX_FILTER_BITS:
+        level = with_maybe(entries.select("rep", "sketch", F.explode(keys).alias("key")), "key", bits, filters).filter("_of_maybe").drop("_of_maybe")
+    else:  # only keys move to a filter this large; who may meet fetches the sketch
+        level = with_maybe(entries.select("rep", F.explode(keys).alias("key")), "key", bits, filters).filter("_of_maybe").drop("_of_maybe")
+        level = level.join(entries.select("rep", "sketch"), "rep")
     edges = []
     for depth in range(len(FANOUT) + 1):
-        sizes = level.groupBy("key").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
-        met = level.join(sizes, "key")
-        if depth == 0:
-            met = met.join(entries.select("rep", "sketch"), "rep")
-        met = written(spark, met, f"level{depth}")
-        member = lambda tied: F.collect_list(F.struct("rep", tied.alias("tied"), "sketch")).alias("members")
-        small = met.filter(F.col("met") <= LIMIT).groupBy("key").agg(member(F.lit(False)))
-        edges.append(written(spark, _brute_force(small), "edges"))
-        large = met.filter(F.col("met") > LIMIT)
-        if depth == len(FANOUT):
-            heads = large.groupBy("key").agg(F.min(F.struct("rep", "sketch")).alias("head"))
-            agree = F.aggregate(F.zip_with("sketch", "head.sketch", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-            cut = F.pmod(F.xxhash64("rep", "key"), F.ceil(F.col("met") / (LIMIT / 2)).cast("long"))
-            large = written(spark, large.join(heads, "key").select("key", "rep", "sketch", F.col("head.rep").alias("head"), (agree >= ROUGH * COORDINATES).alias("near"), cut.alias("part")), "heads")
-            edges.append(large.filter("near and rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")))
-            # parts without anyone apart from the head have nothing to add
-            parts = large.groupBy("key", "part").agg(member(F.col("near")), F.min("near").alias("all")).filter(~F.col("all"))
-            edges.append(written(spark, _brute_force(parts), "edges"))
-            break
-        if large.isEmpty():
+        last = depth == len(FANOUT)
+        level = written(spark, level.select("key", "rep", "sketch"), f"level{depth}")
+        sizes = level.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("least")).filter(F.col("n") > LIMIT)
+        hot = {r["key"]: r["least"] for r in sizes.orderBy(F.desc("n"), "key").limit(HOT_KEYS).collect()}
+        met = written(spark, _meet(level.filter(~F.col("key").isin(list(hot))) if hot else level, last), "met")
+        edges.append(met.filter("b is not null").select("a", "b"))
+        large = met.filter("b is null").select("key", F.col("a").alias("rep"), "sketch")
+        if hot:
+            apart = level.filter(F.col("key").isin(list(hot)))
+            if last:
+                edges.append(_to_least(apart, hot))
+            large = large.unionByName(apart)
+        if last or (not hot and large.isEmpty()):
             break
-        level = large.withColumn("fan", F.explode(F.array(*[F.lit(k) for k in range(FANOUT[depth])])))
-        level = level.withColumn("at", F.pmod(F.xxhash64("key", "fan"), F.lit(COORDINATES)))
-        level = level.select("rep", "sketch", F.xxhash64("key", "at", value(F.col("at"))).alias("key"))
+        fans = F.transform(F.sequence(F.lit(0), F.lit(FANOUT[depth] - 1)), lambda k: F.pmod(F.xxhash64("key", k), F.lit(COORDINATES)))
+        split = F.transform(fans, lambda at: F.xxhash64("key", at, F.element_at("sketch", (at + 1).cast("int"))))
+        level = large.select("rep", "sketch", F.explode(split).alias("key"))
     out = edges[0]
     for more in edges[1:]:
         out = out.unionByName(more)
     return out.distinct()
 
 
+def _to_least(rows: DataFrame, least: dict[int, int]) -> DataFrame:
+    """Edges (a, b) from the least rep of a bucket to each other one; rows (key, rep, ...), HOT_KEYS keys at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [(least[k], r) for k, r in zip(batch.column("key").to_pylist(), batch.column("rep").to_pylist()) if least[k] != r]
+            yield pa.RecordBatch.from_arrays([pa.array([e[i] for e in made], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return rows.select("key", "rep").mapInArrow(run, "a long, b long")
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """id, label (the least id of its component) of the ids in edges (a, b).
 
@@ -318,7 +350,7 @@ def exact_links(spark: SparkSession, docs: DataFrame, members: DataFrame, thresh
         if len(held) > 1:
             yield close()
 
-    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long, links long, edge boolean")
+    return rows.repartition(*key).sortWithinPartitions(*key, "rep", "fp1", "fp2").mapInArrow(run, "a long, b long, links long, edge boolean")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -348,6 +380,10 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, threshold: float = THRESH
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs whose doc_id is the least of its class, with all their columns."""
+    """The rows of docs whose doc_id is the least of its class, with all their columns.
+
+    Texts without words and rows of null doc_id are classes of their own and stay; rows of a
+    repeated doc_id that is the least of its class all stay; an empty table stays empty.
+    """
     found = jaccard_join(spark, docs, **options)
     return drop_ids(spark, docs, found.filter("doc_id <> class_id").select("doc_id"))
