@@ -1,20 +1,22 @@
 """Byte-pair encoding and decoding by a distinct-word table.
 
-Encoding splits the texts in Spark at spaces and line ends, which no token of the
-vocabulary spans, and counts the distinct words. The most frequent ones, up to a
-documented bound, form the word table: each is encoded once, on the executors, and
-the table is broadcast. A second pass over the texts joins ids back by position: it
-looks up every word of a text in order and puts the ids in a row. Words beyond the
-bound are rare by construction; a distinct one is encoded once for each worker that
-meets it and kept in a bounded cache, because a shuffle join of such positions would
-move every text once more. Nothing is dropped: the bound only says where a word is
-encoded, and results are the same for any bound.
+Spark splits the texts at spaces and line ends, which no token of the vocabulary spans, in
+blocks of about BLOCK_BYTES of text: a block's distinct words are numbered, and each
+document becomes the numbers of its words, by position. The distinct words of all blocks are
+dealt by their hash to as many buckets as there are shuffle partitions, so the copies of a
+word meet in one task, which encodes each distinct word once. The ids go back to their blocks,
+where they are joined to the numbers by position. What moves are words and ids once for each block
+that holds them, and the numbers, all compressed; texts don't move.
 
 Decoding joins ids to the id-to-piece table (as large as the vocabulary).
 
+A task holds one block, or the distinct words of one bucket: the share of the corpus' distinct
+words that a shuffle partition has. A frequent word takes one entry for each block, not for
+each occurrence, so no bucket is hot.
+
 Null texts count as empty (no ids, the empty decoded text); rows of a repeated or
 null doc_id are each encoded; extra columns are ignored; an empty table gives an
-empty result. A text of any length is one row; memory follows the longest text.
+empty result. A text of any length is one row of one block; memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -24,22 +26,24 @@ import json
 import os
 import re
 import struct
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.workers import ship
-from .common import clean_text, written
-
-#: Bound of the broadcast word table, in words.
-TABLE_WORDS = 100_000
-#: Words longer than this stay out of the broadcast table, which bounds its bytes.
-TABLE_WORD_CHARS = 64
-#: Words in a generation of a worker's cache; of pre-tokens it holds four times as many.
-CACHE_ENTRIES = 100_000
+from .common import clean_text
+
+#: Bytes of text in a block, at least one document.
+BLOCK_BYTES = 32 << 20
+#: Ids that are decoded and hashed at a time, at least one document.
+CHUNK_IDS = 1 << 20
+#: Entries of a worker's memory of pre-tokens, and of words; a full one starts anew.
+CACHE_ENTRIES = 250_000
 #: Fixed value: the splitter's pattern of the vocabulary file that this module supports.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters for which the short paths below equal the library (tests compare all of them):
@@ -70,25 +74,18 @@ def splitter(pattern: str):
     return re.compile(f"[{letters}]+|[{numbers}]|'(?:s|t|re|ve|m|ll|d)|[^{spaces}{letters}{numbers}]+").findall
 
 
-class Cache:
-    """A dict of two generations of at most `room` entries: what is used stays.
+class Memo(dict):
+    """Values by key, made on the first use; a full one of `room` entries starts anew."""
 
-    make gives the value of a key that neither holds; base is kept for good.
-    """
+    def __init__(self, room: int, make: Callable[[str], bytes]):
+        super().__init__()
+        self.room, self.make = room, make
 
-    def __init__(self, room: int, make, base: dict[str, bytes] | None = None):
-        self.room, self.make, self.base = room, make, base or {}
-        self.young, self.old = dict(self.base), {}
-
-    def get(self, key: str) -> bytes:
-        value = self.young.get(key)
-        if value is None:
-            value = self.old.get(key)
-            if value is None:
-                value = self.make(key)
-            if len(self.young) >= self.room + len(self.base):
-                self.old, self.young = self.young, dict(self.base)
-            self.young[key] = value
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(self) >= self.room:
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -109,13 +106,7 @@ class WordEncoder:
         self.opening = os.path.commonprefix([t["content"] for t in spec["added_tokens"]])
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)").search
         self.letters = byte_letters()
-        self.table: dict[str, bytes] = {}
-        self.pieces, self.words = Cache(4 * cache_entries, self._piece), Cache(cache_entries, self.word)
-
-    def use_table(self, table: dict[str, bytes]) -> None:
-        if table is not self.table:
-            self.table = table
-            self.words = Cache(self.words.room, self.word, table)
+        self.pieces, self.words = Memo(cache_entries, self._piece), Memo(cache_entries, self.word)
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one pre-token, by the library's own merges."""
@@ -127,33 +118,41 @@ class WordEncoder:
     def word(self, word: str) -> bytes:
         """Ids of a text without spaces and line ends."""
         if (word.isascii() or _SIMPLE.match(word)) and not (self.opening in word and self.special(word)):
-            return b"".join(map(self.pieces.get, self.split(word.lower())))
+            return b"".join(map(self.pieces.__getitem__, self.split(word.lower())))
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def text(self, text: str) -> bytes:
         """Ids of a whole text: the words' ids, by position."""
-        return b"".join(map(self.words.get, text.replace("\n", " ").split(" ")))
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
     def batch(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text of a batch, by the batch's table of distinct words.
-
-        Arrow splits the texts and numbers their words; each distinct one is looked up once,
-        and its ids are put to every position.
-        """
-        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        numbered = parts.flatten().dictionary_encode()
-        values = list(map(self.words.get, numbered.dictionary.to_pylist()))
-        flat = np.frombuffer(b"".join(values), "<u4")
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        starts = np.cumsum(sizes) - sizes
-        at = numbered.indices.to_numpy()
-        n = sizes[at]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        kind = np.int32 if ends[-1] < 2**31 else np.int64
-        ids = flat[np.repeat((starts[at] - ends[:-1]).astype(kind), n) + np.arange(ends[-1], dtype=kind)]
-        edges = ends[np.concatenate([[0], np.cumsum(parts.value_lengths().to_numpy())])]
-        return np.split(ids, edges[1:-1]) if len(texts) else []
+        """Ids of each text, each distinct word looked up once."""
+        words, numbers, sizes = numbered(texts)
+        values = list(map(self.words.__getitem__, words.to_pylist()))
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        return list(placed(np.frombuffer(b"".join(values), "<u4"), lengths, numbers, sizes)) if len(texts) else []
+
+
+def numbered(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of texts, the number of the word at each position, and the positions of each text."""
+    parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+    words = parts.flatten().dictionary_encode()
+    return words.dictionary, words.indices.to_numpy(), parts.value_lengths().to_numpy()
+
+
+def placed(flat: np.ndarray, lengths: np.ndarray, numbers: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Ids of each text: those of its words by position; flat has the words' ids one after the other."""
+    starts, done, ends = np.cumsum(lengths) - lengths, 0, np.cumsum(sizes)
+    while done < len(sizes):
+        base = int(ends[done - 1]) if done else 0
+        last = max(done + 1, int(np.searchsorted(ends, base + CHUNK_IDS, side="right")))
+        at = numbers[base : int(ends[last - 1])]
+        n = lengths[at]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat(starts[at] - upto[:-1], n) + np.arange(upto[-1])]
+        yield from np.split(ids, upto[ends[done : last - 1] - base])
+        done = last
 
 
 def encoder(vocabulary: str) -> WordEncoder:
@@ -176,64 +175,168 @@ def piece_table(vocabulary: str) -> list[str]:
     return [by_id.get(i, "") for i in range(max(by_id) + 1)]
 
 
-def word_table(spark: SparkSession, docs: DataFrame, vocabulary: str, words: int = TABLE_WORDS) -> dict[str, bytes]:
-    """The most frequent distinct words with their ids: at most `words` of TABLE_WORD_CHARS each.
+def blocks(batches: Iterator[pa.RecordBatch], size: int, column: str = "_of_text") -> Iterator[pa.Table]:
+    """The rows of batches in blocks: the next one starts where a block's texts have `size` bytes."""
+    held, total = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < len(batch):
+            base = int(ends[first - 1]) if first else 0
+            last = min(len(batch), int(np.searchsorted(ends, base + size - total)) + 1)
+            held.append(batch.slice(first, last - first))
+            total += int(ends[last - 1]) - base
+            first = last
+            if total >= size:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, total = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
-    The threshold comes from a histogram of counts in steps of a quarter power of two
-    (some 200 rows at any size), so no sort of all words is needed.
-    """
-    split = docs.select(F.explode(F.split(F.translate(clean_text(), "\n", " "), " ")).alias("word"))
-    counts = split.filter(F.length("word").between(1, TABLE_WORD_CHARS)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    counts = written(spark, counts.filter("n > 1"), "words").withColumn("step", F.floor(F.log2("n") * 4))
-    least, total = None, 0
-    for step, n in counts.groupBy("step").count().orderBy(F.desc("step")).collect():
-        total += n
-        if total > words:
-            break
-        least = step
-    if least is None:
-        return {}
-    source = spark.sparkContext.broadcast(vocabulary)
+
+def planes(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers as planes of bytes, lowest first: small ones compress well."""
+    return values.astype("<u4").view("u1").reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "u1").reshape(4, -1).T.copy().view("<u4").reshape(-1).astype(np.int64)
+
+
+#: Rows of the exchanges: a block's documents (bucket -1), the words it has in a bucket, or their ids.
+ROWS = "block long, bucket int, doc_ids array<long>, sizes array<int>, data binary, owners binary"
+_ROWS = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("data", pa.binary()), ("owners", pa.binary())])
+
+
+def _split(buckets: int, block_bytes: int):
+    """Cuts documents into blocks of numbered words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(source.value)
-        for batch in batches:
-            ids = [tool.word(w) for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.binary())], ["word", "ids"])
+        import zstandard
 
-    frequent = counts.filter(F.col("step") >= least).select("word")
-    rows = frequent.mapInArrow(run, "word string, ids binary").toArrow()
-    return dict(zip(rows.column("word").to_pylist(), rows.column("ids").to_pylist()))
+        press = zstandard.ZstdCompressor(level=3).compress
+        task = TaskContext.get().partitionId() << 32
+        for k, table in enumerate(blocks(batches, block_bytes)):
+            texts = table.column("_of_text").combine_chunks()
+            texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
+            words, numbers, sizes = numbered(texts)
+            owners = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words.to_pylist()), np.int64, len(words))
+            order = np.argsort(owners, kind="stable")
+            names, edges = words.take(pa.array(order)).to_pylist(), np.searchsorted(owners[order], np.arange(buckets + 1)).tolist()
+            rows = [{"block": task + k, "bucket": -1, "doc_ids": table.column("doc_id").to_pylist(), "sizes": sizes, "data": press(planes(numbers)), "owners": press(planes(owners))}]
+            for b, (first, last) in enumerate(zip(edges, edges[1:])):
+                if first < last:
+                    rows.append({"block": task + k, "bucket": b, "doc_ids": None, "sizes": None, "data": press("\n".join(names[first:last]).encode()), "owners": None})
+            yield pa.RecordBatch.from_pylist(rows, _ROWS)
 
+    return run
 
-def encode(spark: SparkSession, docs: DataFrame, vocabulary_path: str, table_words: int = TABLE_WORDS, digest: bool = False) -> DataFrame:
-    """doc_id, n_tokens and ids (array<int>); with digest also hashes of the ids and of their decoded text.
 
-    digest=True gives doc_id, n_tokens, ids_sha256, decoded_sha256 and leaves the ids out.
-    """
-    ship(spark)
-    vocabulary = read_vocabulary(vocabulary_path)
-    source = spark.sparkContext.broadcast(vocabulary)
-    table = spark.sparkContext.broadcast(word_table(spark, docs, vocabulary, table_words))
+def _encode_words(vocabulary):
+    """Turns the rows of words into rows of ids, each distinct word of a bucket encoded once; others pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press, open_ = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
+        tool, known = encoder(vocabulary.value), {}
+        for batch in batches:
+            is_words = np.asarray(batch.column("bucket")) >= 0
+            made = []
+            for words, data in zip(is_words, batch.column("data")):
+                if not words:
+                    made.append(data.as_py())
+                    continue
+                names = open_(data.as_py()).decode().split("\n")
+                for name in names:
+                    if name not in known:
+                        known[name] = tool.word(name)
+                values = list(map(known.__getitem__, names))
+                counts = np.fromiter(map(len, values), np.int64, len(values)) // 4
+                made.append(press(struct.pack("<q", len(values)) + planes(counts) + planes(np.frombuffer(b"".join(values), "<u4"))))
+            yield batch.set_column(4, "data", pa.array(made, pa.binary()))
+
+    return run
+
+
+def _join(vocabulary, digest: bool):
+    """Joins a block's ids to its documents by position; rows come by block, the documents first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(source.value)
-        tool.use_table(table.value)
-        pieces = piece_table(source.value)
+        import zstandard
+
+        open_ = zstandard.ZstdDecompressor().decompress
+        pieces = pa.array(piece_table(vocabulary.value)) if digest else None
+        block, held, ids = None, None, []
         for batch in batches:
-            rows = tool.batch(batch.column("_of_text"))
-            counts = pa.array(map(len, rows), pa.int64())
-            if digest:
-                decoded = [" ".join(map(pieces.__getitem__, ids.tolist())) for ids in rows]
-                columns = [[hashlib.sha256(ids.tobytes()).hexdigest() for ids in rows], [hashlib.sha256(d.encode()).hexdigest() for d in decoded]]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), counts, *map(pa.array, columns)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-            else:
-                flat = np.concatenate([*rows, np.zeros(0, "<u4")]).astype("<i4")
-                starts = np.concatenate([[0], np.cumsum([len(ids) for ids in rows])]).astype("<i4")
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), counts, pa.ListArray.from_arrays(starts, flat)], ["doc_id", "n_tokens", "ids"])
+            for row in range(len(batch)):
+                now = batch.column("block")[row].as_py()
+                if now != block:
+                    if held:
+                        yield from close(held, ids, pieces)
+                    block, held, ids = now, None, []
+                data = open_(batch.column("data")[row].as_py())
+                if batch.column("bucket")[row].as_py() < 0:
+                    sizes = np.asarray(batch.column("sizes")[row].values, np.int64)
+                    held = batch.column("doc_ids")[row].values, sizes, from_planes(data), from_planes(open_(batch.column("owners")[row].as_py()))
+                else:
+                    (n,) = struct.unpack_from("<q", data)
+                    ids.append((from_planes(data[8 : 8 + 4 * n]), from_planes(data[8 + 4 * n :])))
+        if held:
+            yield from close(held, ids, pieces)
+
+    def close(held, ids, pieces) -> Iterator[pa.RecordBatch]:
+        doc_ids, sizes, numbers, owners = held
+        order = np.argsort(owners, kind="stable")
+        counts = np.concatenate([c for c, _ in ids])
+        flat = np.concatenate([x for _, x in ids]).astype("<u4")
+        # the words came bucket by bucket; their ids stay there, and each number learns its place
+        lengths, starts = np.empty(len(owners), np.int64), np.empty(len(owners), np.int64)
+        lengths[order], starts[order] = counts, np.cumsum(counts) - counts
+        by_number = flat[np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(flat))]
+        rows, first, total = [], 0, 0
+        for k, found in enumerate(placed(by_number, lengths, numbers, sizes)):
+            rows.append(found)
+            total += len(found)
+            if total >= CHUNK_IDS or k + 1 == len(sizes):
+                yield shown(doc_ids.slice(first, len(rows)), rows, pieces)
+                rows, first, total = [], k + 1, 0
+
+    def shown(doc_ids: pa.Array, rows: list[np.ndarray], pieces) -> pa.RecordBatch:
+        counts = np.array([len(r) for r in rows], np.int64)
+        flat = np.concatenate(rows)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype("<i4"))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(flat.astype("<i4")))
+        if not digest:
+            return pa.RecordBatch.from_arrays([doc_ids, pa.array(counts), lists], ["doc_id", "n_tokens", "ids"])
+        return pa.RecordBatch.from_arrays(
+            [doc_ids, pa.array(counts), pa.array([hashlib.sha256(r.tobytes()).hexdigest() for r in rows]), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in joined(lists, pieces)])],
+            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+        )
+
+    return run
+
+
+def joined(lists: pa.ListArray, pieces: pa.Array) -> list[str]:
+    """Decoded texts: each list's ids joined to their pieces, in order."""
+    found = pa.ListArray.from_arrays(lists.offsets, pieces.take(lists.values))
+    return pc.binary_join(found, " ").to_pylist()
+
+
+def encode(spark: SparkSession, docs: DataFrame, vocabulary_path: str, digest: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, n_tokens and ids (array<int>); with digest also hashes of the ids and of their decoded text.
 
+    digest=True gives doc_id, n_tokens, ids_sha256, decoded_sha256 and leaves the ids out.
+    """
+    ship(spark)
+    vocabulary = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("int")
+    rows = docs.select("doc_id", clean_text().alias("_of_text")).mapInArrow(_split(buckets, block_bytes), ROWS)
+    rows = rows.repartitionById(buckets, F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(spread))
+    rows = rows.mapInArrow(_encode_words(vocabulary), ROWS).repartitionById(buckets, spread).sortWithinPartitions("block", "bucket")
     schema = "doc_id long, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>")
-    return docs.select("doc_id", clean_text().alias("_of_text")).mapInArrow(run, schema)
+    return rows.mapInArrow(_join(vocabulary, digest), schema)
 
 
 def decode(spark: SparkSession, encoded: DataFrame, vocabulary_path: str) -> DataFrame:
@@ -242,11 +345,13 @@ def decode(spark: SparkSession, encoded: DataFrame, vocabulary_path: str) -> Dat
     Null ids count as none; an id outside the vocabulary fails the job.
     """
     ship(spark)
-    pieces = spark.sparkContext.broadcast(piece_table(read_vocabulary(vocabulary_path)))
+    source = spark.sparkContext.broadcast(piece_table(read_vocabulary(vocabulary_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pa.array(source.value)
         for batch in batches:
-            texts = [" ".join(map(pieces.value.__getitem__, ids or [])) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+            lists = pc.fill_null(batch.column("ids"), pa.scalar([], pa.list_(pa.int32())))
+            flat = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype("<i4")), lists.flatten())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(joined(flat, pieces), pa.string())], ["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.workers import ship
-from .bpe import encoder, read_vocabulary
+from .bpe import blocks, encoder, read_vocabulary
 from .common import clean_text, new_path
 
 SAMPLE_ROWS = 1000
@@ -39,6 +39,8 @@ SAMPLE_ROWS = 1000
 SAMPLE_BYTES, DICTIONARY_BYTES = 16_384, 65_536
 #: A segment is closed at this many documents or compressed bytes.
 SEGMENT_DOCS, SEGMENT_BYTES = 512, 1 << 20
+#: Bytes of text that are encoded together.
+ENCODE_BYTES = 16 << 20
 END_ID = 1
 MAGIC, VERSION = b"OFTS", 1
 HEADER = struct.Struct("<4sBBxx32sIq")
@@ -108,7 +110,8 @@ def write_files(spark: SparkSession, docs: DataFrame, vocabulary_path: str, path
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, edges = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(dictionary.value)), np.array(bounds, np.int64)
-        for batch in batches:
+        for table in blocks(batches, ENCODE_BYTES):  # large blocks, as a distinct word is looked up once for each
+            batch = table.to_batches()[0]
             packed = [(n, made.compress(data)) for n, data in serialised(batch.column("_of_text"))]
             shard = np.searchsorted(edges, batch.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False), side="left")
             yield pa.RecordBatch.from_arrays(
