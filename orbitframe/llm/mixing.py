@@ -5,18 +5,19 @@ times its own words and its excess is shared again by weight. The level at which
 this settles comes from one pass over the sources in order of cap / weight.
 
 Each source's documents, shuffled by a seeded hash, form a stream of words that runs
-`most` times and is cut into blocks of equal size. The points of the golden-ratio
-sequence, mapped through the cumulative target weights, give each slot of the mix a
-source; slots are ranked per source, and the slot of rank r takes the source's block
-r. A source takes as many slots as its target needs, the last one in part; slots the
-sequence still owes a source at its end are appended. Documents take the words of
-their blocks, never more than `most` times their size.
-
-Running sums and ranks go in two levels (buckets of a hash or of the slot number, then
-within a bucket), so no source, however large, meets in one task; only rows per source
-or per source and bucket do. Null texts and texts without words have size 0 and take
-0; a null source is a source, last in order; repeated rows each count; extra columns
-are ignored; an empty table gives an empty result.
+`most` times and is cut into blocks of equal size. The mix is cut into as many slots. The
+points of the van der Corput sequence, mapped through the cumulative targets, give each
+slot a source; slots are ranked per source, and the slot of rank r takes the source's block
+r (the last slot only what the mix still lacks; a rank beyond the stream's end takes nothing).
+So a source takes what the points give it, within a few slots of its target, and documents take the
+words of their blocks, never more than `most` times their size.
+
+The rank of a slot is arithmetic: of the first i points, those below a bound are counted
+by the binary digits of the bound, so no slots are sorted or brought together. Running sums
+of sizes go in two levels (buckets of a hash, then within a bucket), so no source, however large,
+meets in one task; only rows per source, or per source and bucket, do. Null texts and texts without
+words have size 0 and take 0; a null source is a source, last in order; repeated rows each
+count; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,10 +26,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import clean_text, packed, written
 
-#: Words of a block; at least BLOCKS slots are made, so small inputs get smaller blocks.
-BLOCK_WORDS, BLOCKS = 2048, 2000
-#: The golden ratio's fraction as a 31-bit multiplier: slot i gets the point i * GOLDEN mod 2**31.
-GOLDEN = 1327217885
+#: Words of a block; at least SLOTS slots are made, so small inputs get smaller blocks.
+BLOCK_WORDS, SLOTS = 2048, 1 << 16
+#: Binary digits of the points: slot i gets i with its POINT_BITS digits reversed.
+POINT_BITS = 40
+#: Cells in which a point's source is looked up, as a power of two.
+CELL_BITS = 12
 WEIGHTS = (3, 1, 2)
 
 
@@ -61,17 +64,21 @@ def targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0, weights: tu
 
 
 def mix(spark: SparkSession, docs: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[float, ...] = WEIGHTS, seed: int = 17) -> DataFrame:
-    """doc_id, size, source, source_size, target, taken for every row of docs."""
+    """doc_id, size, source, source_size, target, taken, first_slots for every row of docs.
+
+    first_slots: of each run through the stream that takes words of the row, the slot that takes the first.
+    """
     rows = docs.select("doc_id", "source", words(clean_text()).alias("size"))
     rows = written(spark, rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "source")), "sizes")
-    total = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("words")).first()
-    block = max(1, min(BLOCK_WORDS, int(total["words"] * share / BLOCKS)))
-    sources = rows.groupBy("source").agg(F.sum("size").alias("size"))
-    sources = targets(sources, share, most, weights).withColumn("take", F.floor(F.col("target") + F.lit(1e-6)).cast("long"))
-    sources = written(spark, sources.withColumn("slots", F.ceil(F.col("take") / block).cast("long")), "sources")
+    sources = written(spark, targets(rows.groupBy("source").agg(F.sum("size").alias("size")), share, most, weights), "targets")
+    total = sources.agg(F.floor(F.coalesce(F.sum("target"), F.lit(0.0)) + F.lit(1e-6)).cast("long")).first()[0]
+    block = max(1, min(BLOCK_WORDS, total // SLOTS))
+    made = -(-total // block)
+    bounds = written(spark, intervals(sources), "bounds")
 
     # Place of each document in its source's shuffled stream: buckets of the hash, then within.
-    buckets = 1 << max(4, (int(total["n"]) ** 0.5 / 4).__ceil__().bit_length())
+    n = rows.count()
+    buckets = 1 << max(4, (n**0.5 / 4).__ceil__().bit_length())
     rows = rows.withColumn("bucket", F.pmod("h", F.lit(buckets)))
     by_bucket = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -83,66 +90,89 @@ def mix(spark: SparkSession, docs: DataFrame, share: float = 1.5, most: int = 2,
     })
     by_bucket = by_bucket.select(F.col("source").alias("s2"), F.col("bucket").alias("b2"), "bucket_start")
     rows = rows.join(by_bucket, F.col("source").eqNullSafe(F.col("s2")) & (F.col("bucket") == F.col("b2"))).drop("s2", "b2")
-    facts = sources.select(F.col("source").alias("s2"), F.col("size").alias("source_size"), "target", "take")
+    given = _below(F.lit(made), F.col("high_terms")) - _below(F.lit(made), F.col("low_terms"))
+    facts = sources.join(bounds.select(F.col("source").alias("s3"), given.alias("given")), F.col("source").eqNullSafe(F.col("s3")), "left")
+    facts = facts.select(F.col("source").alias("s2"), F.col("size").alias("source_size"), "target", F.coalesce("given", F.lit(0)).alias("given"))
     rows = rows.join(facts, F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
     start = F.col("bucket_start") + F.col("inner")
 
-    # Pieces: where a document's words of each run through the stream fall into blocks.
+    # Pieces: where a document's words of each run through the stream fall into blocks that have a slot.
     runs = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda k: start + k * F.col("source_size"))
-    rows = rows.withColumn("run", F.explode(runs)).withColumn("end", F.col("run") + F.col("size"))
-    inside = (F.col("size") > 0) & (F.col("run") < F.col("take"))
-    blocks = F.when(inside, F.sequence(F.floor(F.col("run") / block), F.floor((F.least("end", "take") - 1) / block)))
-    pieces = rows.withColumn("block", F.explode_outer(blocks))
-
-    # The schedule: slots in golden-ratio order, ranked per source.
-    slots = schedule(spark, sources, block)
-    slots = slots.select(F.col("source").alias("s2"), F.col("rank").alias("r2"), "slot")
+    rows = rows.select("*", F.posexplode(runs).alias("turn", "run")).withColumn("end", F.col("run") + F.col("size"))
+    first = F.floor(F.col("run") / block)
+    last = F.least(F.floor((F.col("end") - 1) / block), F.col("given") - 1)
+    pieces = rows.withColumn("block", F.explode_outer(F.when((F.col("size") > 0) & (first <= last), F.sequence(first, last))))
+    slots = schedule(spark, bounds, made).select(F.col("source").alias("s2"), F.col("rank").alias("r2"), "slot")
     pieces = pieces.join(slots, F.col("source").eqNullSafe(F.col("s2")) & (F.col("block") == F.col("r2")), "left")
-    words_taken = F.least(F.col("end"), (F.col("block") + 1) * block, F.col("take")) - F.greatest(F.col("run"), F.col("block") * block)
-    taken = F.sum(F.when(F.col("slot").isNotNull(), words_taken).otherwise(0))
+    upto = F.col("block") * block + F.least(F.lit(block), F.lit(total) - F.col("slot") * block)
+    got = F.least(F.col("end"), upto) - F.greatest(F.col("run"), F.col("block") * block)
+    got = F.when(F.col("slot").isNotNull(), F.greatest(got, F.lit(0))).otherwise(0)
     keys = ["doc_id", "size", "source", "source_size", "target", "bucket", "row"]
-    return pieces.groupBy(*keys).agg(taken.cast("long").alias("taken")).drop("bucket", "row")
-
-
-def schedule(spark: SparkSession, sources: DataFrame, block: int) -> DataFrame:
-    """slot, source, rank (from 0): the order in which the mix takes each source's blocks."""
-    made = int(sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0])
-    upto = Window.orderBy(F.col("source").asc_nulls_last())
-    scale = float(1 << 31) / max(made, 1)
-    ends = sources.filter("slots > 0").withColumn("end", F.sum("slots").over(upto))
-    ends = ends.select("source", "slots", F.floor((F.col("end") - F.col("slots")) * scale).alias("low"), F.floor(F.col("end") * scale).alias("high"))
-    # A point finds its interval by the grid cell it lies in: an equal join, not a range join over all sources.
-    grid = 1 << 12
-    cell = (1 << 31) // grid
-    cells = ends.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") / cell), F.floor((F.col("high") - 1) / cell))))
-    chunk = 4096
-    points = spark.range(made).select(F.col("id").alias("slot"), F.pmod(F.col("id") * F.lit(GOLDEN), F.lit(1 << 31)).alias("point"))
-    points = points.withColumn("cell", F.floor(F.col("point") / cell)).join(cells, "cell")
-    points = points.filter("point >= low and point < high").select("slot", "source", "slots", F.floor(F.col("slot") / chunk).alias("chunk"))
-    counts = points.groupBy("source", "chunk").agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(F.col("source").alias("s2"), F.col("chunk").alias("c2"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    rank = F.row_number().over(Window.partitionBy("source", "chunk").orderBy("slot")) - 1
-    ranked = points.withColumn("inner", rank).join(counts, F.col("source").eqNullSafe(F.col("s2")) & (F.col("chunk") == F.col("c2")))
-    ranked = ranked.select("slot", "source", (F.col("inner") + F.col("base")).alias("rank"), "slots").filter("rank < slots")
-    # What the sequence still owes a source follows at the end.
-    got = ranked.groupBy("source").agg(F.count(F.lit(1)).alias("got")).select(F.col("source").alias("s2"), "got")
-    owed = ends.join(got, F.col("source").eqNullSafe(F.col("s2")), "left").withColumn("got", F.coalesce("got", F.lit(0))).filter("got < slots")
-    owed = owed.withColumn("rank", F.explode(F.sequence(F.col("got"), F.col("slots") - 1))).select((F.col("rank") + made).alias("slot"), "source", "rank")
-    return ranked.drop("slots").unionByName(owed)
+    turns = [F.min(F.when((F.col("turn") == k) & (got > 0), F.col("slot"))) for k in range(most)]
+    taken = pieces.groupBy(*keys).agg(F.sum(got).cast("long").alias("taken"), F.array_compact(F.array(*turns)).alias("first_slots"))
+    return taken.drop("bucket", "row")
+
+
+def intervals(sources: DataFrame) -> DataFrame:
+    """source, low, high, low_terms, high_terms of rows (source, target): each source's part of the points.
+
+    The terms of a bound say how many of the first points lie below it (see _below). The
+    windows run over one row per source.
+    """
+    order = Window.orderBy(F.col("source").asc_nulls_last())
+    ends = sources.filter("target > 0").withColumn("upto", F.sum("target").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = ends.withColumn("high", F.floor(F.col("upto") / F.max("upto").over(Window.partitionBy()) * F.lit(float(1 << POINT_BITS))).cast("long"))
+    ends = ends.withColumn("low", F.coalesce(F.lag("high").over(order), F.lit(0)))
+    return ends.select("source", "low", "high", _terms(F.col("low")).alias("low_terms"), _terms(F.col("high")).alias("high_terms"))
+
+
+def _reversed(value: Column, digits: Column) -> Column:
+    """value with its last binary digits in reverse order."""
+    return F.when(digits == 0, F.lit(0)).otherwise(F.conv(F.reverse(F.lpad(F.bin(value), digits, "0")), 2, 10).cast("long"))
+
+
+def _terms(bound: Column) -> Column:
+    """Array of (first, step): for each 1 among the bound's digits, the points of one part below it.
+
+    The points below the bound fall into parts that share their leading digits; as a point's
+    leading digits are its slot's last ones reversed, a part holds the slots first, first + 2**step, ...
+    """
+    shifted = lambda b: F.call_function("shiftright", bound, b)
+    ones = F.filter(F.sequence(F.lit(0), F.lit(POINT_BITS)), lambda b: shifted(b) % 2 == 1)
+    return F.transform(ones, lambda b: F.struct(_reversed(shifted(b) - 1, F.lit(POINT_BITS) - b).alias("first"), (F.lit(POINT_BITS) - b).alias("step")))
+
+
+def _below(slots: Column, terms: Column) -> Column:
+    """How many of the first `slots` points lie below the bound of the terms."""
+    more = lambda t: F.when(slots > t["first"], F.call_function("shiftright", slots - t["first"] - 1, t["step"]) + 1).otherwise(F.lit(0))
+    return F.aggregate(terms, F.lit(0).cast("long"), lambda n, t: n + more(t))
+
+
+def schedule(spark: SparkSession, bounds: DataFrame, made: int) -> DataFrame:
+    """slot, source, rank (from 0) of the first `made` slots: the order in which the mix takes each source's blocks."""
+    # A point finds its interval by the cell it lies in: an equal join, not a range join over all sources.
+    cell = lambda c: F.shiftright(c, POINT_BITS - CELL_BITS)
+    cells = bounds.filter("low < high").withColumn("cell", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high") - 1))))
+    points = spark.range(made).select(F.col("id").alias("slot"), _reversed(F.col("id"), F.lit(POINT_BITS)).alias("point"))
+    points = points.withColumn("cell", cell(F.col("point"))).join(cells, "cell").filter("point >= low and point < high")
+    return points.select("slot", "source", (_below(F.col("slot"), F.col("high_terms")) - _below(F.col("slot"), F.col("low_terms"))).alias("rank"))
 
 
 def mixed_rows(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """docs as the mix takes them: each row as often as the mix takes its words, to the nearest whole time.
+    """docs as the mix takes them, in the order of its slots: each row as often as the mix takes its words, to the nearest whole time.
 
     The decisions join back on (doc_id, source); rows that agree in both take turns'
-    mean, so a repeated doc_id within a source is repeated evenly.
+    mean, so a repeated doc_id within a source is repeated evenly. Null texts and texts without
+    words have nothing to take and aren't part of the mix; an empty table stays empty.
     """
-    mixed = mix(spark, docs, **options).filter("size > 0")
-    times = mixed.groupBy(F.col("doc_id").alias("_of_id"), F.col("source").alias("_of_source")).agg(
-        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_of_times")
+    most = options.get("most", 2)
+    mixed = mix(spark, docs, **options).filter("taken > 0")
+    slots = F.array_compact(F.array(*[F.min(F.get("first_slots", F.lit(k))) for k in range(most)]))
+    times = mixed.groupBy(F.col("doc_id").alias("_of_i"), F.col("source").alias("_of_s")).agg(
+        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_of_times"), slots.alias("_of_slots")
     )
-    times = times.filter("_of_times > 0").withColumnsRenamed({"_of_id": "_of_i", "_of_source": "_of_s"})
+    times = times.filter("_of_times > 0")
     rows = packed(docs, "doc_id", "source")
     taken = rows.join(times, F.col("_of_doc_id").eqNullSafe(F.col("_of_i")) & F.col("_of_source").eqNullSafe(F.col("_of_s")))
-    return taken.select("_of_doc", F.explode(F.sequence(F.lit(1), F.col("_of_times")))).select("_of_doc.*")
+    turns = F.transform(F.sequence(F.lit(0), F.col("_of_times") - 1), lambda k: F.coalesce(F.get("_of_slots", k), F.get("_of_slots", F.lit(0))))
+    return taken.select("_of_doc", F.explode(turns).alias("_of_slot")).orderBy("_of_slot").select("_of_doc.*")
