@@ -9,7 +9,8 @@ ITEM = (
     "properties struct<datetime:timestamp,`eo:cloud_cover`:double,`s2:processing_baseline`:string>, "
     "assets map<string,struct<href:string>>"
 )
-FEATURES = "crs struct<properties:struct<name:string>>, features array<struct<geometry:struct<type:string,coordinates:array<array<array<double>>>>>>"
+#: Coordinates are read as text, as their depth differs by type.
+FEATURES = "crs struct<properties:struct<name:string>>, features array<struct<geometry:struct<type:string,coordinates:string,geometries:array<struct<type:string,coordinates:string>>>>>"
 #: Assets of an optical scene, bands first, then the classification.
 ASSETS = ("red", "blue", "green", "nir", "nir08", "rededge1", "rededge2", "rededge3", "swir16", "swir22", "scl")
 
@@ -34,16 +35,32 @@ def wanted_assets(items: DataFrame) -> DataFrame:
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """geometry, points, crs of the polygons of GeoJSON files; the crs is EPSG:4326 where unnamed."""
+    """geometry, polygon, ring, points, crs: every ring of the polygons of GeoJSON files; EPSG:4326 where no crs is named.
+
+    Ring 0 is a polygon's outline, the others its holes. Multi-polygons and collections give one
+    number for each of their polygons. Features without any polygon (points, lines, null) fail the read.
+    """
     files = spark.read.schema(FEATURES).option("multiLine", "true").json(path)
     rows = files.select(F.coalesce("crs.properties.name", F.lit("EPSG:4326")).alias("crs"), F.posexplode("features").alias("geometry", "f"))
-    return rows.filter("f.geometry.type = 'Polygon'").select("geometry", _ring(F.col("f.geometry.coordinates")).alias("points"), "crs")
+    rows = rows.withColumn("g", F.explode_outer(F.when(F.col("f.geometry.type") == "GeometryCollection", F.col("f.geometry.geometries")).otherwise(F.array(F.struct("f.geometry.type", "f.geometry.coordinates")))))
+    one = F.from_json("g.coordinates", "array<array<array<double>>>")
+    many = F.from_json("g.coordinates", "array<array<array<array<double>>>>")
+    unfit = F.raise_error(F.concat(F.lit("not a polygon: "), F.coalesce("g.type", F.lit("null")))).cast("array<array<array<array<double>>>>")
+    polygons = F.when(F.col("g.type") == "Polygon", F.array(one)).when(F.col("g.type") == "MultiPolygon", many).otherwise(unfit)
+    rows = rows.select("geometry", "crs", F.explode(polygons).alias("p"))
+    rows = rows.groupBy("geometry", "crs").agg(F.collect_list("p").alias("ps")).select("geometry", "crs", F.posexplode("ps").alias("polygon", "p"))
+    return rows.select("geometry", "polygon", F.posexplode("p").alias("ring", "c"), "crs").select("geometry", "polygon", "ring", _points(F.col("c")).alias("points"), "crs")
+
+
+def _points(ring):
+    """A ring without its closing point, as array of struct (x, y)."""
+    points = F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+    return F.slice(points, 1, F.greatest(F.size(points) - 1, F.lit(0)))
 
 
 def _ring(coordinates):
-    """The outer ring without its closing point, as array of struct (x, y)."""
-    ring = F.transform(coordinates[0], lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
-    return F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0)))
+    """The outer ring."""
+    return _points(coordinates[0])
 
 
 def read_list(spark: SparkSession, path: str) -> DataFrame:
@@ -55,6 +72,10 @@ def read_list(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.explode(values).alias("tile"))
 
 
-def write_list(tiles: DataFrame, path: str) -> None:
-    """Distinct tiles, sorted, as text lines."""
-    tiles.select("tile").distinct().orderBy("tile").write.text(path)
+def write_list(tiles: DataFrame, path: str, form: str = "text") -> None:
+    """Distinct tiles, sorted: as text lines, or as one JSON array of strings."""
+    tiles = tiles.select("tile").distinct()
+    if form == "text":
+        tiles.orderBy("tile").write.text(path)
+    else:
+        tiles.agg(F.to_json(F.array_sort(F.collect_list("tile"))).alias("value")).write.text(path)

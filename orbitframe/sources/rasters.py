@@ -6,15 +6,19 @@ reference rasters and exported maps.
 
 from __future__ import annotations
 
+import json
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.workers import ship
+from .arrays import stream_files
+from .files import listing, opened
 
 #: TIFF field types by number, as struct codes, and the tags used here.
 TYPES = {1: "B", 2: "s", 3: "H", 4: "I", 5: "Q", 11: "f", 12: "d", 16: "Q"}
@@ -33,98 +37,214 @@ class Raster:
     epsg: int
 
 
-def encode_raster(raster: Raster) -> bytes:
-    """Bytes of a little-endian TIFF, pixel-interleaved, in one strip."""
-    data = raster.pixels if raster.pixels.ndim == 3 else raster.pixels[..., None]
-    data = np.ascontiguousarray(data.astype(data.dtype.newbyteorder("<")))
-    h, w, n = data.shape
-    a, _, c, _, e, f = raster.affine
-    model, key = (2, GEOGRAPHIC) if raster.epsg in (4326, 4258) else (1, PROJECTED)
+def raster_head(shape: tuple[int, int, int], dtype: np.dtype, affine: tuple[float, ...], epsg: int) -> bytes:
+    """The head of a little-endian TIFF, pixel-interleaved, its lines in one strip behind it; beyond 4 GB a BigTIFF."""
+    h, w, n = shape
+    dtype = np.dtype(dtype)
+    a, _, c, _, e, f = affine
+    model, key = (2, GEOGRAPHIC) if epsg in (4326, 4258) else (1, PROJECTED)
+    size = h * w * n * dtype.itemsize
+    big = size > 4_000_000_000
+    wide, (number, place, cell_bytes) = (16, ("<Q", "<HHQ", 8)) if big else (4, ("<H", "<HHI", 4))
     fields: list[tuple[int, int, tuple]] = [
-        (WIDTH, 4, (w,)), (HEIGHT, 4, (h,)), (BITS, 3, (data.itemsize * 8,) * n), (COMPRESSION, 3, (1,)), (PHOTOMETRIC, 3, (1,)),
-        (STRIPS, 4, (0,)), (SAMPLES, 3, (n,)), (ROWS, 4, (h,)), (COUNTS, 4, (data.nbytes,)), (PLANAR, 3, (1,)), (FORMAT, 3, (FORMATS[data.dtype.kind],) * n),
-        (PIXEL_SCALE, 12, (a, -e, 0.0)), (TIE_POINT, 12, (0.0, 0.0, 0.0, c, f, 0.0)), (GEO_KEYS, 3, (1, 1, 0, 2, 1024, 0, 1, model, key, 0, 1, raster.epsg)),
+        (WIDTH, 4, (w,)), (HEIGHT, 4, (h,)), (BITS, 3, (dtype.itemsize * 8,) * n), (COMPRESSION, 3, (1,)), (PHOTOMETRIC, 3, (1,)),
+        (STRIPS, wide, (0,)), (SAMPLES, 3, (n,)), (ROWS, 4, (h,)), (COUNTS, wide, (size,)), (PLANAR, 3, (1,)), (FORMAT, 3, (FORMATS[dtype.kind],) * n),
+        (PIXEL_SCALE, 12, (a, -e, 0.0)), (TIE_POINT, 12, (0.0, 0.0, 0.0, c, f, 0.0)), (GEO_KEYS, 3, (1, 1, 0, 2, 1024, 0, 1, model, key, 0, 1, epsg)),
     ]
-    base = 8 + 2 + 12 * len(fields) + 4
+    start = 16 if big else 8
+    entry = struct.calcsize(place) + cell_bytes
+    base = start + struct.calcsize(number) + entry * len(fields) + cell_bytes
     far, entries, strip_at = b"", b"", 0
     for tag, kind, values in fields:
         body = struct.pack(f"<{len(values)}{TYPES[kind]}", *values)
         if tag == STRIPS:
-            strip_at = 8 + 2 + len(entries) + 8
-        if len(body) <= 4:
-            cell = body.ljust(4, b"\0")
+            strip_at = start + struct.calcsize(number) + len(entries) + struct.calcsize(place)
+        if len(body) <= cell_bytes:
+            cell = body.ljust(cell_bytes, b"\0")
         else:
-            cell = struct.pack("<I", base + len(far))
+            cell = (base + len(far)).to_bytes(cell_bytes, "little")
             far += body + b"\0" * (len(body) % 2)
-        entries += struct.pack("<HHI", tag, kind, len(values)) + cell
-    out = bytearray(b"II*\0" + struct.pack("<I", 8) + struct.pack("<H", len(fields)) + entries + b"\0\0\0\0" + far)
-    struct.pack_into("<I", out, strip_at, len(out))
-    return bytes(out) + data.tobytes()
+        entries += struct.pack(place, tag, kind, len(values)) + cell
+    opening = b"II+\0" + struct.pack("<HHQ", 8, 0, 16) if big else b"II*\0" + struct.pack("<I", 8)
+    out = bytearray(opening + struct.pack(number, len(fields)) + entries + bytes(cell_bytes) + far)
+    out[strip_at : strip_at + cell_bytes] = len(out).to_bytes(cell_bytes, "little")
+    return bytes(out)
 
 
-def decode_raster(content: bytes) -> Raster:
-    """The raster of an uncompressed, pixel-interleaved TIFF in either byte order."""
-    order = {b"II": "<", b"MM": ">"}.get(content[:2])
-    if order is None or struct.unpack_from(f"{order}H", content, 2)[0] != 42:
+def encode_raster(raster: Raster) -> bytes:
+    """Bytes of a raster file."""
+    data = raster.pixels if raster.pixels.ndim == 3 else raster.pixels[..., None]
+    data = np.ascontiguousarray(data.astype(data.dtype.newbyteorder("<")))
+    return raster_head(data.shape, data.dtype, raster.affine, raster.epsg) + data.tobytes()
+
+
+@dataclass(frozen=True)
+class Head:
+    """What a raster file says of itself, and where its strips of lines lie."""
+
+    width: int
+    height: int
+    bands: int
+    dtype: np.dtype
+    affine: tuple[float, float, float, float, float, float]
+    epsg: int
+    rows: int
+    strips: tuple[int, ...]
+    counts: tuple[int, ...]
+
+
+def read_head(read) -> Head:
+    """The head of an uncompressed, pixel-interleaved (Big)TIFF in either byte order; read gives (count, offset) bytes."""
+    opening = read(16, 0)
+    order = {b"II": "<", b"MM": ">"}.get(opening[:2])
+    version = struct.unpack_from(f"{order}H", opening, 2)[0] if order and len(opening) >= 8 else 0
+    if version not in (42, 43):
         raise ValueError("not a TIFF file")
-    (at,) = struct.unpack_from(f"{order}I", content, 4)
-    (count,) = struct.unpack_from(f"{order}H", content, at)
+    big = version == 43
+    (at,) = struct.unpack_from(f"{order}Q", opening, 8) if big else struct.unpack_from(f"{order}I", opening, 4)
+    number, place, cell = (f"{order}Q", f"{order}HHQ", 8) if big else (f"{order}H", f"{order}HHI", 4)
+    (count,) = struct.unpack(number, read(struct.calcsize(number), at))
+    entry = struct.calcsize(place) + cell
+    table = read(entry * count, at + struct.calcsize(number))
     fields: dict[int, tuple] = {}
     for k in range(count):
-        place = at + 2 + 12 * k
-        tag, kind, n = struct.unpack_from(f"{order}HHI", content, place)
+        tag, kind, n = struct.unpack_from(place, table, entry * k)
         if kind not in TYPES:
             continue
         code = f"{order}{n}{TYPES[kind]}"
-        start = place + 8 if struct.calcsize(code) <= 4 else struct.unpack_from(f"{order}I", content, place + 8)[0]
-        fields[tag] = struct.unpack_from(code, content, start)
+        inner = table[entry * k + struct.calcsize(place) : entry * (k + 1)]
+        size = struct.calcsize(code)
+        if size > cell:
+            (far,) = struct.unpack(f"{order}{'Q' if big else 'I'}", inner)
+            inner = read(size, far)
+        fields[tag] = struct.unpack_from(code, inner)
     if fields.get(COMPRESSION, (1,))[0] != 1 or fields.get(PLANAR, (1,))[0] != 1:
         raise ValueError("compressed or band-separate rasters aren't supported")
-    w, h, n = fields[WIDTH][0], fields[HEIGHT][0], fields.get(SAMPLES, (1,))[0]
     letter = {v: k for k, v in FORMATS.items()}[fields.get(FORMAT, (1,))[0]]
-    dtype = np.dtype(f"{order}{letter}{fields[BITS][0] // 8}")
-    data = b"".join(content[a : a + b] for a, b in zip(fields[STRIPS], fields[COUNTS]))
     scale, tie = fields.get(PIXEL_SCALE, (1.0, 1.0, 0.0)), fields.get(TIE_POINT, (0.0,) * 6)
     keys = fields.get(GEO_KEYS, ())
     codes = {keys[i]: keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i + 1] == 0}
-    pixels = np.frombuffer(data, dtype).reshape(h, w, n).astype(dtype.newbyteorder("="))
     left, top = tie[3] - tie[0] * scale[0], tie[4] + tie[1] * scale[1]
-    return Raster(pixels, (scale[0], 0.0, left, 0.0, -scale[1], top), codes.get(PROJECTED, codes.get(GEOGRAPHIC, 4326)))
+    height = fields[HEIGHT][0]
+    return Head(
+        fields[WIDTH][0], height, fields.get(SAMPLES, (1,))[0], np.dtype(f"{order}{letter}{fields[BITS][0] // 8}"), (scale[0], 0.0, left, 0.0, -scale[1], top),
+        codes.get(PROJECTED, codes.get(GEOGRAPHIC, 4326)), min(fields.get(ROWS, (height,))[0], height), fields[STRIPS], fields[COUNTS],
+    )
+
+
+def read_lines(read, head: Head, first: int, last: int) -> np.ndarray:
+    """Lines first..last-1 of a raster, as (lines, width, bands): only their bytes are read."""
+    line = head.width * head.bands * head.dtype.itemsize
+    parts = []
+    row = first
+    while row < last:
+        strip = row // head.rows
+        n = min(last, (strip + 1) * head.rows) - row
+        parts.append(read(n * line, head.strips[strip] + (row - strip * head.rows) * line))
+        row += n
+    return np.frombuffer(b"".join(parts), head.dtype).reshape(-1, head.width, head.bands).astype(head.dtype.newbyteorder("="))
 
 
-def read_rasters(spark: SparkSession, path: str) -> DataFrame:
-    """path, row, col, bands of every pixel of the rasters below path."""
+def decode_raster(content: bytes) -> Raster:
+    """The raster of a file's bytes."""
+    read = lambda n, at: content[at : at + n]
+    head = read_head(read)
+    return Raster(read_lines(read, head, 0, head.height), head.affine, head.epsg)
+
+
+def read_raster_meta(spark: SparkSession, path: str) -> DataFrame:
+    """path, folder, width, height, bands, epsg, the affine map and error of the rasters below path: heads alone are read."""
     ship(spark)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            for file, content in zip(frame["path"], frame["content"]):
-                data = decode_raster(content).pixels
-                for row, line in enumerate(data):
-                    yield pd.DataFrame({"path": file, "row": row, "col": range(len(line)), "bands": list(line.astype(float))})
+            rows = []
+            for file, folder in zip(frame["path"], frame["folder"]):
+                try:
+                    with opened(file) as f:
+                        head = read_head(f.read_at)
+                    rows.append((file, folder, head.width, head.height, head.bands, head.epsg, *head.affine, None))
+                except Exception as error:  # any damage is this file's, not the job's
+                    rows.append((file, folder, *[None] * 10, f"{type(error).__name__}: {error}"))
+            yield pd.DataFrame(rows, columns=["path", "folder", "width", "height", "bands", "epsg", *"abcdef", "error"]).astype({c: "Int64" for c in ("width", "height", "bands", "epsg")})
 
-    return _files(spark, path).select("path", "content").mapInPandas(run, "path string, row int, col int, bands array<double>")
+    meta = "path string, folder string, width int, height int, bands int, epsg int, " + ", ".join(f"{c} double" for c in "abcdef") + ", error string"
+    return listing(spark, path, "*.tif*").select("path", "folder").mapInPandas(run, meta)
 
 
-def read_raster_meta(spark: SparkSession, path: str) -> DataFrame:
-    """path, width, height, bands, epsg and the affine map of the rasters below path."""
+def bounds(meta: DataFrame) -> DataFrame:
+    """meta with left, bottom, right, top of each raster."""
+    far = {"right": F.col("c") + F.col("a") * F.col("width"), "bottom": F.col("f") + F.col("e") * F.col("height")}
+    return meta.withColumns({"left": F.col("c"), "top": F.col("f"), **far})
+
+
+def read_rasters(spark: SparkSession, path: str, rows: tuple[int, int] | None = None, cols: tuple[int, int] | None = None, slab_bytes: int = 32 << 20) -> DataFrame:
+    """path, row, col, bands of the pixels of the rasters below path, within half-open windows of rows and columns.
+
+    Rasters are read in slabs of lines, each a task's share; lines outside the window aren't read.
+    A damaged file fails the job (read_raster_meta names it).
+    """
     ship(spark)
+    heads = read_raster_meta(spark, path)
+    heads = heads.withColumn("height", F.when(F.col("error").isNull(), F.col("height")).otherwise(F.raise_error(F.concat_ws(": ", "path", "error")).cast("int")))
+    low, high = (F.lit(rows[0]), F.least("height", F.lit(rows[1]))) if rows else (F.lit(0), F.col("height"))
+    span = F.greatest(F.lit(1), F.floor(F.lit(slab_bytes) / (F.col("width") * F.col("bands") * 8))).cast("int")
+    slabs = heads.select("path", low.alias("_low"), high.alias("_high"), span.alias("_span")).filter("_low < _high")
+    slabs = slabs.withColumn("first", F.explode(F.sequence(F.col("_low"), F.col("_high") - 1, F.col("_span"))))
+    slabs = slabs.select("path", "first", F.least(F.col("first") + F.col("_span"), F.col("_high")).alias("last"))
+    slabs = slabs.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    left, right = cols or (0, None)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, first, last in zip(*(c.to_pylist() for c in batch.columns)):
+                with opened(file) as f:
+                    data = read_lines(f.read_at, read_head(f.read_at), first, last)[:, left:right].astype(float)
+                for k, line in enumerate(data):
+                    w, n = line.shape
+                    found = pa.ListArray.from_arrays(pa.array(np.arange(0, w * n + 1, n, dtype=np.int32)), pa.array(line.ravel()))
+                    yield pa.RecordBatch.from_arrays([pa.array([file] * w), pa.array([first + k] * w, pa.int32()), pa.array(np.arange(left, left + w, dtype=np.int32)), found], ["path", "row", "col", "bands"])
+
+    return slabs.mapInArrow(run, "path string, row int, col int, bands array<double>")
+
+
+def write_rasters(made: DataFrame, folder: str, name: str, shapes: DataFrame, key: str, dtype: str, done: str = "replace") -> DataFrame:
+    """Writes folder/<key>/<name>.tif for every key of shapes (key, shape, affine: array of six, epsg) from lines (key, t, row, data).
+
+    Lines, manifest and failures are those of arrays.write_arrays; shape is height, width, bands.
+    """
+    spark = made.sparkSession
+    ship(spark)
+    kind = dict(shapes.dtypes)[key]
+    # the affine and the code ride in the bytes of the row with the shape
+    facts = F.encode(F.to_json(F.struct("affine", "epsg")), "utf-8")
+    heads = shapes.select(key, F.lit(-1).alias("t"), F.lit(-1).alias("row"), facts.alias("data"), "shape")
+    rows = heads.unionByName(made.select(key, "t", "row", "data", F.lit(None).cast("array<int>").alias("shape")))
+    rows = rows.repartition(key).sortWithinPartitions(key, "t", "row")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            rows = []
-            for file, content in zip(frame["path"], frame["content"]):
-                raster = decode_raster(content)
-                h, w, n = raster.pixels.shape
-                rows.append((file, w, h, n, raster.epsg, *raster.affine))
-            yield pd.DataFrame(rows, columns=["path", "width", "height", "bands", "epsg", *"abcdef"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: dict = {}
+
+        def seen(batch: pa.RecordBatch) -> pa.RecordBatch:
+            for name_, row, data in zip(*(batch.column(c).to_pylist() for c in (key, "row", "data"))):
+                if row == -1:
+                    told["now"] = told.setdefault(name_, json.loads(data))
+            return batch
+
+        def named(k) -> str:
+            told["now"] = told.pop(k, None)
+            return f"{folder.rstrip('/')}/{k}/{name}.tif"
+
+        head = lambda shape: raster_head(tuple(shape), np.dtype(dtype), tuple(told["now"]["affine"]), told["now"]["epsg"])
+        yield from stream_files(map(seen, batches), key, kind, named, head, np.dtype(dtype).itemsize, done)
 
-    meta = "path string, width int, height int, bands int, epsg int, " + ", ".join(f"{c} double" for c in "abcdef")
-    return _files(spark, path).select("path", "content").mapInPandas(run, meta)
+    return rows.mapInArrow(run, f"{key} {kind}, path string, bytes long, status string, error string")
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tif*").load(path)
+def patch_roi(patches: DataFrame, patch: int) -> tuple[DataFrame, DataFrame]:
+    """Lines and shapes of the region rasters of patches (patch_id, affine, epsg): `patch` by `patch` ones, for write_rasters."""
+    ones = patches.select("patch_id", F.lit(0).alias("t"), F.explode(F.sequence(F.lit(0), F.lit(patch - 1))).alias("row"), F.lit(bytearray(b"\1" * patch)).alias("data"))
+    return ones, patches.select("patch_id", F.array(F.lit(patch), F.lit(patch), F.lit(1)).alias("shape"), "affine", "epsg")
 
 
 def nonzero_mask(raster: DataFrame) -> DataFrame:
