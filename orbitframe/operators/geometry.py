@@ -14,11 +14,26 @@ from ..functions.workers import ship
 #: The WGS 84 ellipsoid, and UTM's scale and false origins.
 AXIS, FLATTENING, SCALE, EASTING, SOUTH = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0, 10000000.0
 _N = FLATTENING / (2 - FLATTENING)
-#: Rectifying radius and the coefficients of Krueger's series to the third order of n.
+#: Rectifying radius and the coefficients of Krueger's series to the fourth order of n.
 RADIUS = AXIS / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
-FORWARD = (_N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16, 13 * _N**2 / 48 - 3 * _N**3 / 5, 61 * _N**3 / 240)
-INVERSE = (_N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96, _N**2 / 48 + _N**3 / 15, 17 * _N**3 / 480)
-LATITUDE = (2 * _N - 2 * _N**2 / 3 - 2 * _N**3, 7 * _N**2 / 3 - 8 * _N**3 / 5, 56 * _N**3 / 15)
+FORWARD = (
+    _N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16 + 41 * _N**4 / 180,
+    13 * _N**2 / 48 - 3 * _N**3 / 5 + 557 * _N**4 / 1440,
+    61 * _N**3 / 240 - 103 * _N**4 / 140,
+    49561 * _N**4 / 161280,
+)
+INVERSE = (
+    _N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96 - _N**4 / 360,
+    _N**2 / 48 + _N**3 / 15 - 437 * _N**4 / 1440,
+    17 * _N**3 / 480 - 37 * _N**4 / 840,
+    4397 * _N**4 / 161280,
+)
+LATITUDE = (
+    2 * _N - 2 * _N**2 / 3 - 2 * _N**3 + 116 * _N**4 / 45,
+    7 * _N**2 / 3 - 8 * _N**3 / 5 - 227 * _N**4 / 45,
+    56 * _N**3 / 15 - 136 * _N**4 / 35,
+    4279 * _N**4 / 630,
+)
 
 
 def utm_forward(lon: Column, lat: Column, zone: Column, south: Column) -> tuple[Column, Column]:
@@ -73,16 +88,73 @@ def area_centroid(points: Column) -> Column:
     return F.struct((F.abs(twice) / 2).alias("area"), (cx / (3 * twice)).alias("x"), (cy / (3 * twice)).alias("y"))
 
 
-def union_centroid(polygons: DataFrame, points: str) -> DataFrame:
-    """x, y: the centroid of disjoint polygons together."""
-    each = polygons.select(area_centroid(F.col(points)).alias("c"))
-    weigh = lambda k: F.sum(F.col("c.area") * F.col(f"c.{k}")) / F.sum("c.area")
-    return each.agg(weigh("x").alias("x"), weigh("y").alias("y"))
+def union_measure(polygons: list[list[np.ndarray]]) -> tuple[float, float, float]:
+    """Area and centroid of the union of polygons, each a list of rings (n, 2) by the even-odd rule.
 
+    The plane is cut into horizontal slabs at every corner and every crossing of two edges. Within
+    a slab edges don't cross, so the union is a row of trapezoids, which are summed exactly.
+    """
+    parts, levels = [], set()
+    for number, rings in enumerate(polygons):
+        for ring in rings:
+            ring = np.asarray(ring, float)
+            for (ax, ay), (bx, by) in zip(ring, np.roll(ring, -1, axis=0)):
+                levels |= {ay, by}
+                if ay != by:
+                    parts.append((min(ay, by), max(ay, by), ax, ay, (bx - ax) / (by - ay), number))
+    for i, (alow, ahigh, ax, ay, aslope, _) in enumerate(parts):
+        for blow, bhigh, bx, by, bslope, _ in parts[i + 1 :]:
+            if aslope != bslope:
+                y = (bx - ax + aslope * ay - bslope * by) / (aslope - bslope)
+                if max(alow, blow) < y < min(ahigh, bhigh):
+                    levels.add(y)
+    area = sx = sy = 0.0
+    order = sorted(levels)
+    for low, high in zip(order, order[1:]):
+        at = lambda e, y: e[2] + (y - e[3]) * e[4]
+        edges = sorted((e for e in parts if e[0] <= low and e[1] >= high), key=lambda e: (at(e, (low + high) / 2), e[5]))
+        odd: set[int] = set()
+        for left, right in zip(edges, edges[1:]):
+            odd ^= {left[5]}
+            if not odd:
+                continue
+            a, b, c, d = at(left, low), at(right, low), at(left, high), at(right, high)
+            below, above, tall = b - a, d - c, high - low
+            piece = (below + above) * tall / 2
+            if piece <= 0:
+                continue
+            area += piece
+            sy += piece * low + tall * tall * (below + 2 * above) / 6
+            sx += tall * (b * b - a * a + d * d - c * c + b * d - a * c) / 6
+    return (area, sx / area, sy / area) if area else (0.0, math.nan, math.nan)
+
+
+def _rings(frame: pd.DataFrame, by: list[str]) -> list[list[np.ndarray]]:
+    """Polygons of rows (by..., points), each row a ring."""
+    as_ring = lambda ring: np.array([[p["x"], p["y"]] for p in ring], float).reshape(-1, 2)
+    return [[as_ring(r) for r in part["points"]] for _, part in frame.groupby(by)]
+
+
+def union_centroid(polygons: DataFrame, points: str, by: list[str] | None = None) -> DataFrame:
+    """area, x, y of the union of polygons; what several cover counts once.
+
+    Rows are rings (by..., points); without by each row is a polygon. A region's outline is one
+    task's work: it holds corners, not pixels.
+    """
+    ship(polygons.sparkSession)
+    rows = polygons.select(*(by or []), F.col(points).alias("points"))
+    if not by:
+        rows, by = rows.withColumn("_polygon", F.monotonically_increasing_id()), ["_polygon"]
+
+    def measure(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([union_measure(_rings(frame, by))], columns=["area", "x", "y"])
+
+    return rows.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(measure, "area double, x double, y double")
 
-def best_epsg(polygons: DataFrame, points: str) -> DataFrame:
-    """epsg of the UTM zone of the polygons' common centroid (geographic coordinates)."""
-    return union_centroid(polygons, points).select(scalar.utm_epsg(F.col("x"), F.col("y")).alias("epsg"))
+
+def best_epsg(polygons: DataFrame, points: str, by: list[str] | None = None) -> DataFrame:
+    """epsg of the UTM zone of the centroid of the polygons' union (geographic coordinates)."""
+    return union_centroid(polygons, points, by).select(scalar.utm_epsg(F.col("x"), F.col("y")).alias("epsg"))
 
 
 def convex_hull(points: np.ndarray) -> np.ndarray:
@@ -137,14 +209,112 @@ def inside(x: Column, y: Column, points: Column) -> Column:
     return F.size(F.filter(ring, crosses)) % 2 == 1
 
 
-def rasterize(polygons: DataFrame, key: str, points: str, pixel: float, left: float, top: float) -> DataFrame:
-    """key, col, row of the pixels of a grid whose centres lie in each polygon.
+def crossings(points: Column, y: Column) -> Column:
+    """Ascending x at which the edges of a ring (array of struct x, y) pass a horizontal line."""
+    ring = F.zip_with(points, F.concat(F.slice(points, 2, F.size(points)), F.slice(points, 1, 1)), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+    passing = F.filter(ring, lambda e: (e["p"]["y"] > y) != (e["q"]["y"] > y))
+    return F.array_sort(F.transform(passing, lambda e: e["p"]["x"] + (e["q"]["x"] - e["p"]["x"]) * (y - e["p"]["y"]) / (e["q"]["y"] - e["p"]["y"])))
+
+
+def rasterize(polygons: DataFrame, key: str | list[str], points: str, pixel: float, left: float, top: float) -> DataFrame:
+    """key..., col, row of the pixels of a grid whose centres lie in each polygon.
 
-    Only pixels in a polygon's own box are looked at, row by row.
+    A polygon is all rings of a key, holes and parts among them, by the even-odd rule. Each
+    ring gives its crossings with the rows of pixels it spans; a row's crossings are sorted
+    together and the pixels between each two are made, so the work is edges and pixels inside.
     """
+    keys = [key] if isinstance(key, str) else key
     box = scalar.polygon_box(F.col(points))
-    rows = polygons.withColumn("_box", box)
-    rows = rows.withColumn("row", F.explode(F.sequence(F.floor((top - F.col("_box.y1")) / pixel), F.floor((top - F.col("_box.y0")) / pixel))))
-    rows = rows.withColumn("col", F.explode(F.sequence(F.floor((F.col("_box.x0") - left) / pixel), F.floor((F.col("_box.x1") - left) / pixel))))
-    x, y = left + (F.col("col") + 0.5) * pixel, top - (F.col("row") + 0.5) * pixel
-    return rows.filter(inside(x, y, F.col(points))).select(key, F.col("col").cast("int").alias("col"), F.col("row").cast("int").alias("row"))
+    rows = polygons.filter(F.size(points) > 0).select(*keys, points, box.alias("_box"))
+    first, last = F.floor((top - F.col("_box.y1")) / pixel), F.floor((top - F.col("_box.y0")) / pixel)
+    rows = rows.withColumn("row", F.explode(F.sequence(first, last)))
+    lines = rows.select(*keys, "row", crossings(F.col(points), top - (F.col("row") + 0.5) * pixel).alias("_x")).filter(F.size("_x") > 0)
+    lines = lines.groupBy(*keys, "row").agg(F.array_sort(F.flatten(F.collect_list("_x"))).alias("_x"))
+    lines = lines.withColumn("_k", F.explode(F.sequence(F.lit(0), F.floor(F.size("_x") / 2).cast("int") - 1)))
+    # a centre lies inside from the first crossing on, up to but without the second
+    edge = lambda k: F.ceil((F.get("_x", k) - left) / pixel - 0.5)
+    spans = lines.select(*keys, "row", edge(2 * F.col("_k")).alias("_a"), (edge(2 * F.col("_k") + 1) - 1).alias("_b")).filter("_a <= _b")
+    places = F.transform(F.sequence("_a", "_b"), lambda c: c.cast("int"))
+    return spans.select(*keys, F.explode(places).alias("col"), F.col("row").cast("int").alias("row"))
+
+
+def raster_frame(points: DataFrame, pixel: float) -> DataFrame:
+    """left, top, width, height of the raster around points (x, y): extents over the pixel, rounded up, one at least."""
+    box = points.agg(F.min("x").alias("left"), F.max("y").alias("top"), F.max("x").alias("_r"), F.min("y").alias("_b"))
+    size = lambda a, b: F.ceil((F.col(a) - F.col(b)) / pixel).cast("int")
+    made = box.select("left", "top", size("_r", "left").alias("width"), size("top", "_b").alias("height"))
+    return made.withColumn("width", F.when((F.col("width") > 0) & (F.col("height") > 0), F.col("width")).otherwise(F.raise_error(F.lit("the region has no extent")).cast("int")))
+
+
+def hull_mask(vertices: DataFrame, by: str, pixel: float, left: float, top: float) -> DataFrame:
+    """by, col, row: the pixels in the convex hull of each group's vertices (by, x, y)."""
+    return rasterize(hulls(vertices, by), by, "points", pixel, left, top)
+
+
+#: Letters of MGRS columns (by zone modulo 3) and rows, and of latitude bands from 80 degrees south.
+MGRS_COLUMNS, MGRS_ROWS, MGRS_BANDS = ("STUVWXYZ", "ABCDEFGH", "JKLMNPQR"), "ABCDEFGHJKLMNPQRSTUV", "CDEFGHJKLMNPQRSTUVWX"
+
+
+def mgrs_corner(tile: Column) -> Column:
+    """Struct (zone, south, x, y) of the south-west corner of a 100 km square such as 33UWP or 3VXG."""
+    zone = F.regexp_extract(tile, r"^(\d{1,2})", 1).cast("int")
+    letters = F.regexp_extract(tile, r"^\d{1,2}([A-Z]{3})", 1)
+    place = lambda where, k: F.instr(where, F.substring(letters, k, 1)) - 1
+    band = place(F.lit(MGRS_BANDS), 1)
+    column = F.when(zone % 3 == 0, place(F.lit(MGRS_COLUMNS[0]), 2)).when(zone % 3 == 1, place(F.lit(MGRS_COLUMNS[1]), 2)).otherwise(place(F.lit(MGRS_COLUMNS[2]), 2))
+    row = place(F.lit(MGRS_ROWS), 3)
+    # even zones start their row letters five later; letters repeat every 2000 km, so the band says which time
+    low = F.pmod(row - F.when(zone % 2 == 0, 5).otherwise(0), F.lit(20)) * 100_000.0
+    south = band < 10
+    # the northing of the band's southern edge at the zone's middle, within 100 km
+    edge = utm_forward(zone * 6 - 183.0, band * 8.0 - 80, zone, south)[1]
+    y = low + F.ceil((edge - 100_000.0 - low) / 2_000_000) * 2_000_000
+    return F.struct(zone.alias("zone"), south.alias("south"), ((column + 1) * 100_000.0).alias("x"), y.alias("y"))
+
+
+def tile_centre(tile: Column) -> Column:
+    """Struct (lon, lat) of the middle of a 100 km square."""
+    corner = mgrs_corner(tile)
+    lon, lat = utm_inverse(corner["x"] + 50_000, corner["y"] + 50_000, corner["zone"], corner["south"])
+    return F.struct(lon.alias("lon"), lat.alias("lat"))
+
+
+def tile_circle(tile: Column, radius: float = 500.0, corners: int = 64) -> Column:
+    """Corners (lon, lat as x, y) of the circle around the middle of a 100 km square, drawn in metres."""
+    corner = mgrs_corner(tile)
+
+    def at(k: Column) -> Column:
+        turn = k * (2 * math.pi / corners)
+        lon, lat = utm_inverse(corner["x"] + 50_000 + radius * F.cos(turn), corner["y"] + 50_000 + radius * F.sin(turn), corner["zone"], corner["south"])
+        return F.struct(lon.alias("x"), lat.alias("y"))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(corners - 1)), at)
+
+
+def clip_polygon(points: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """The part of a polygon (array of struct x, y) inside a box, as a ring; empty where they don't meet.
+
+    One side of the box after the other cuts the ring: corners inside stay, and edges that pass
+    the side give the point where they do.
+    """
+
+    def cut(ring: Column, axis: str, bound: Column, sign: int) -> Column:
+        other = "y" if axis == "x" else "x"
+        depth = lambda p: (p[axis] - bound) * sign
+        edges = F.zip_with(ring, F.concat(F.slice(ring, 2, F.greatest(F.size(ring), F.lit(1))), F.slice(ring, 1, 1)), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+
+        def kept(e: Column) -> Column:
+            p, q = e["p"], e["q"]
+            along = p[other] + (q[other] - p[other]) * F.try_divide(bound - p[axis], q[axis] - p[axis])
+            met = F.struct(bound.alias("x"), along.alias("y")) if axis == "x" else F.struct(along.alias("x"), bound.alias("y"))
+            corner = F.when(depth(p) >= 0, F.array(F.struct(p["x"].alias("x"), p["y"].alias("y"))))
+            crossing = F.when((depth(p) > 0) & (depth(q) < 0) | (depth(p) < 0) & (depth(q) > 0), F.array(met))
+            nothing = F.array().cast("array<struct<x:double,y:double>>")
+            return F.concat(F.coalesce(corner, nothing), F.coalesce(crossing, nothing))
+
+        return F.flatten(F.transform(edges, kept))
+
+    box = [c.cast("double") for c in (x0, y0, x1, y1)]
+    for axis, bound, sign in (("x", box[0], 1), ("y", box[1], 1), ("x", box[2], -1), ("y", box[3], -1)):
+        points = cut(points, axis, bound, sign)
+    return points
