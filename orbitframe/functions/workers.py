@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import io
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -12,15 +14,10 @@ from pyspark.sql import SparkSession
 
 import orbitframe
 
-#: Rows of an Arrow batch; Spark's own limit of bytes holds besides. Small batches bound a worker's memory.
-BATCH_ROWS = 1000
 
 def ship(spark: SparkSession) -> None:
     """Sends the package to the executors once per context, through the driver's file server."""
     context = spark.sparkContext
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) in (0, 10_000):  # Spark's default: no choice of the user's
-        spark.conf.set(key, BATCH_ROWS)
     if getattr(context, "_orbitframe_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(orbitframe.__file__))
@@ -31,7 +28,9 @@ def ship(spark: SparkSession) -> None:
                 path = os.path.join(folder, name)
                 archive.write(path, os.path.join("orbitframe", os.path.relpath(path, root)))
     name = hashlib.sha256(buffer.getvalue()).hexdigest()[:16]
-    path = os.path.join(tempfile.mkdtemp(), f"orbitframe-{name}.zip")
+    folder = tempfile.mkdtemp()
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, f"orbitframe-{name}.zip")
     with open(path, "wb") as file:
         file.write(buffer.getvalue())
     context.addPyFile(path)

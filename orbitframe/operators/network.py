@@ -8,12 +8,13 @@ are fused and reduced to the representation.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.workers import ship
@@ -37,6 +38,16 @@ class Config:
         return 4 * self.latent
 
 
+    @classmethod
+    def load(cls, *paths: str, **overrides) -> "Config":
+        """Sizes of JSON files, later ones over earlier ones, and overrides over all; unknown names are refused."""
+        found: dict = {}
+        for path in paths:
+            with open(path, encoding="utf-8") as file:
+                found |= json.load(file)
+        return cls(**(found | {k: v for k, v in overrides.items() if v is not None}))
+
+
 TINY = Config(latent=4, heads=2, layers=1, hidden=32, steps=4)
 
 
@@ -65,10 +76,69 @@ def random_weights(config: Config, seed: int = 0) -> dict[str, np.ndarray]:
     return made
 
 
-def load_weights(path: str, strip: str = "_orig_mod.") -> dict[str, np.ndarray]:
-    """Weights of an npz file, without the prefix that a compiled model adds to names."""
-    with np.load(path) as file:
-        return {k.removeprefix(strip): file[k] for k in file.files}
+#: Names of a saved model's layers, as (its name, ours); {t} is its tower, {k} a layer.
+LAYERS = (
+    ("{t}.embedding.0", "{o}.embed0"), ("{t}.embedding.2", "{o}.embed1"),
+    ("{t}.transformer_encoder.layers.{k}.self_attn.in_proj_", "{o}.layer{k}.in."), ("{t}.transformer_encoder.layers.{k}.self_attn.out_proj", "{o}.layer{k}.out"),
+    ("{t}.transformer_encoder.layers.{k}.linear1", "{o}.layer{k}.ff0"), ("{t}.transformer_encoder.layers.{k}.linear2", "{o}.layer{k}.ff1"),
+    ("{t}.transformer_encoder.layers.{k}.norm1", "{o}.layer{k}.norm0"), ("{t}.transformer_encoder.layers.{k}.norm2", "{o}.layer{k}.norm1"),
+    ("{t}.attn_pool.temporal_context.{p}_ih_l0", "{o}.gru_x.{p}"), ("{t}.attn_pool.temporal_context.{p}_hh_l0", "{o}.gru_h.{p}"),
+    ("{t}.attn_pool.query", "{o}.score"),
+)
+TOWERS = (("s2_backbone", "s2"), ("s1_backbone", "s1"))
+#: Layers of training that inference drops.
+DROPPED = ("projector.",)
+
+
+def saved_names(config: Config) -> dict[str, str]:
+    """Our name of every weight by its name in a saved model."""
+    out = {f"dim_reducer.0.{p}": f"reduce.{p}" for p in ("weight", "bias")}
+    for theirs, ours in TOWERS:
+        for a, b in LAYERS:
+            for k in range(config.layers) if "{k}" in a else (0,):
+                for p in ("weight", "bias"):
+                    own = (b if "{p}" in b else f"{b.rstrip('.')}.{{p}}").format(o=ours, k=k, p=p)
+                    name = a if "{p}" in a else f"{a}{{p}}" if a.endswith("_") else f"{a}.{{p}}"
+                    out[name.format(t=theirs, k=k, p=p)] = own
+    return out
+
+
+def from_checkpoint(checkpoint: dict, config: Config) -> dict[str, np.ndarray]:
+    """Weights under the names that `forward` reads, of a saved model's state.
+
+    The state stands under model_state or model_state_dict; the prefix that a compiled model adds is
+    stripped. Strict: a missing, an unknown or a misshapen weight is an error.
+    """
+    state = next((checkpoint[k] for k in ("model_state", "model_state_dict") if k in checkpoint), None)
+    if state is None:
+        raise KeyError(f"no model state among {sorted(checkpoint)}")
+    state = {k.removeprefix("_orig_mod."): np.asarray(v) for k, v in state.items()}
+    state = {k: v for k, v in state.items() if not k.startswith(DROPPED)}
+    names, shapes = saved_names(config), {k: v.shape for k, v in random_weights(config).items()}
+    missing, unknown = sorted(set(names) - set(state)), sorted(set(state) - set(names))
+    if missing or unknown:
+        raise KeyError(f"missing weights {missing[:5]}, unknown weights {unknown[:5]}")
+    made = {names[k]: v for k, v in state.items()}
+    wrong = [k for k, v in made.items() if v.shape != shapes[k]]
+    if wrong:
+        raise ValueError(f"weights of other shapes: {wrong[:5]}")
+    return made
+
+
+def load_weights(path: str, config: Config | None = None) -> dict[str, np.ndarray]:
+    """Weights of an npz file: under our own names, or, with the sizes given, those of a saved model.
+
+    A saved model's file holds names such as model_state/<layer>; without a folder they are the state itself.
+    """
+    with np.load(path, allow_pickle=False) as file:
+        held = {k: file[k] for k in file.files}
+    if config is None:
+        return {k.removeprefix("_orig_mod."): v for k, v in held.items()}
+    nested: dict[str, dict] = {}
+    for k, v in held.items():
+        folder, _, name = k.rpartition("/")
+        nested.setdefault(folder or "model_state", {})[name] = v
+    return from_checkpoint(nested, config)
 
 
 def _linear(x: np.ndarray, w: dict, name: str) -> np.ndarray:
@@ -88,7 +158,7 @@ def softmax(x: np.ndarray, axis: int = -1) -> np.ndarray:
 def encode_doys(doys: np.ndarray, width: int) -> np.ndarray:
     """Sines and cosines of the days, in turn, as (..., width)."""
     angle = doys[..., None] * np.exp(np.arange(0, width, 2) * (-math.log(10000.0) / width))
-    return np.stack([np.sin(angle), np.cos(angle)], axis=-1).reshape(*doys.shape, -1)
+    return np.stack([np.sin(angle), np.cos(angle)], axis=-1).reshape(*doys.shape, -1).astype(doys.dtype)
 
 
 def attend(x: np.ndarray, w: dict, name: str, heads: int) -> np.ndarray:
@@ -102,7 +172,7 @@ def attend(x: np.ndarray, w: dict, name: str, heads: int) -> np.ndarray:
 def recurrent(x: np.ndarray, w: dict, tower: str) -> np.ndarray:
     """States of a gated recurrent pass; the reset gate applies to the hidden part's new value."""
     n, t, d = x.shape
-    given, h, out = _linear(x, w, f"{tower}.gru_x"), np.zeros((n, d)), np.empty_like(x)
+    given, h, out = _linear(x, w, f"{tower}.gru_x"), np.zeros((n, d), x.dtype), np.empty_like(x)
     gate = lambda z: 1 / (1 + np.exp(-z))
     for k in range(t):
         held = _linear(h, w, f"{tower}.gru_h")
@@ -137,29 +207,79 @@ def forward(optical: np.ndarray, radar: np.ndarray, w: dict, config: Config) ->
     return _linear(fused, w, "reduce")
 
 
-def represent(pixels: DataFrame, keys: list[str], weights: dict[str, np.ndarray], config: Config = Config(), repeats: int = 1) -> DataFrame:
+#: Pixels that go through the towers together; at full size their feed-forward part takes about 40 MB.
+MICRO_BATCH = 64
+
+
+def represent(pixels: DataFrame, keys: list[str], weights: dict[str, np.ndarray], config: Config = Config(), repeats: int = 1, dtype: str = "float32", failures: bool = False) -> DataFrame:
     """keys, vec of rows (keys, s2, s1): arrays of steps, each an array of bands and day.
 
     With repeats, s2 and s1 hold that many samples one after the other, and vec is their mean.
-    The weights are as large as the model and are broadcast once.
+    The weights are as large as the model and are broadcast once. Arrow batches are read from their
+    buffers and computed in small parts. With failures, a part that can't be computed gives rows of null vec and
+    an error instead of ending the job; rows then have an error column.
     """
     spark = pixels.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(weights)
+    shared = spark.sparkContext.broadcast({k: np.asarray(v, dtype) for k, v in weights.items()})
     types = dict(pixels.dtypes)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            if frame.empty:
-                continue
-            parts = [np.stack([np.stack(x) for x in frame[c]]).astype(float) for c in ("s2", "s1")]
-            n = len(frame)
-            flat = [p.reshape(n * repeats, -1, p.shape[-1]) for p in parts]
-            vec = forward(*flat, shared.value, config).reshape(n, repeats, -1).mean(axis=1)
-            yield frame[keys].assign(vec=list(vec.astype(np.float32)))
-
-    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "vec array<float>"])
-    return pixels.select(*keys, "s2", "s1").mapInPandas(run, schema)
+    def steps_of(column: pa.Array) -> np.ndarray:
+        flat = column.flatten().flatten()
+        if column.null_count or flat.null_count or len(flat) % max(1, len(column)):
+            raise ValueError("series of unequal length, or with nulls")
+        return np.asarray(flat, dtype).reshape(len(column) * repeats, config.steps, -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), MICRO_BATCH):
+                part = batch.slice(at, MICRO_BATCH)
+                error = None
+                try:
+                    vec = forward(steps_of(part.column("s2")), steps_of(part.column("s1")), shared.value, config).reshape(len(part), repeats, -1).mean(axis=1).astype(np.float32)
+                    made = pa.ListArray.from_arrays(pa.array(np.arange(0, vec.size + 1, vec.shape[1], dtype=np.int32)), pa.array(vec.ravel()))
+                except Exception as problem:
+                    if not failures:
+                        raise
+                    made, error = pa.nulls(len(part), pa.list_(pa.float32())), f"{type(problem).__name__}: {problem}"
+                columns = [*(part.column(k) for k in keys), made, *([pa.array([error] * len(part), pa.string())] if failures else [])]
+                yield pa.RecordBatch.from_arrays(columns, [*keys, "vec", *(["error"] if failures else [])])
+
+    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "vec array<float>", *(["error string"] if failures else [])])
+    as_double = lambda c: F.transform(c, lambda step: F.transform(step, lambda x: x.cast("double"))).alias(c)
+    return pixels.select(*keys, as_double("s2"), as_double("s1")).mapInArrow(run, schema)
+
+
+def reduce_vectors(rows: DataFrame, keys: list[str], vector: str, weights: np.ndarray, bias: np.ndarray | None = None) -> DataFrame:
+    """keys, vec: a linear map (outputs, inputs) of a vector column, as a matrix product of each Arrow batch.
+
+    For maps of full size; series.reduce_vector is the same for a few weights, as an expression.
+    """
+    spark = rows.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast((np.asarray(weights, float).T, 0.0 if bias is None else np.asarray(bias, float)))
+    types = dict(rows.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matrix, add = shared.value
+        for batch in batches:
+            vec = np.asarray(batch.column("_v").flatten(), float).reshape(-1, len(matrix)) @ matrix + add
+            made = pa.ListArray.from_arrays(pa.array(np.arange(0, vec.size + 1, vec.shape[1], dtype=np.int32)), pa.array(vec.ravel()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), made], [*keys, "vec"])
+
+    picked = rows.select(*keys, F.transform(vector, lambda x: x.cast("double")).alias("_v"))
+    return picked.mapInArrow(run, ", ".join([*(f"{k} {types[k]}" for k in keys), "vec array<double>"]))
+
+
+def attention_pooling(x: np.ndarray, weight: np.ndarray, bias: float) -> np.ndarray:
+    """Steps (n, steps, width) pooled by the softmax of one linear score, without the recurrent pass."""
+    return (softmax(x @ weight + bias, axis=1)[..., None] * x).sum(axis=1)
+
+
+def fourier_days(doys: np.ndarray, frequencies: np.ndarray, phases: np.ndarray, weight: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Learnt encoding of days (n, steps): sines and cosines of the scaled year, mapped to the width."""
+    angle, n = 2 * np.pi * (doys[..., None] / 365.0) * frequencies, len(frequencies)
+    return np.concatenate([np.sin(angle + phases[:n]), np.cos(angle + phases[n : 2 * n])], axis=-1) @ weight.T + bias
 
 
 def model_input(sampled: DataFrame, keys: list[str], means: list[float], deviations: list[float], name: str) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions import scalar
 from ..operators import grid, network, scenes, series
 
 
@@ -17,8 +18,6 @@ def radar_stack(amplitudes: DataFrame) -> DataFrame:
     Scenes of one orbit and day are laid over each other in order of their names, the last
     non-zero amplitude of each band wins, and the winners are scaled.
     """
-    from ..functions import scalar
-
     name = F.col("name")
     rows = amplitudes.withColumns({"orbit": scalar.orbit_of_name(name), "doy": scalar.doy_of_name(name)})
     rank = lambda band: F.struct((F.col(band) != 0).alias("seen"), "name")
@@ -51,11 +50,18 @@ def retile(spark: SparkSession, roi: DataFrame, tiles: DataFrame, optical: DataF
     return left, right
 
 
-def embed(optical: DataFrame, radar: DataFrame, weights: dict, config: network.Config, optical_facts: tuple[list[float], list[float]], radar_facts: tuple[list[float], list[float]], least: int = 0, seed: int = 0) -> DataFrame:
+def single_tile(observations: DataFrame, patches: DataFrame) -> DataFrame:
+    """Observations (patch_id, idx, tile, ...) of patches that one tile alone covers: nothing to merge, days aren't made distinct."""
+    alone = patches.groupBy("patch_id").agg(F.count_distinct("tile").alias("n")).filter("n = 1").select("patch_id")
+    return observations.join(alone, "patch_id", "left_semi")
+
+
+def embed(optical: DataFrame, radar: DataFrame, weights: dict, config: network.Config, optical_facts: tuple[list[float], list[float]], radar_facts: tuple[list[float], list[float]], least: int = 0, seed: int = 0, failures: bool = False) -> DataFrame:
     """patch_id, idx, vec of the valid pixels of both merged series.
 
     Steps are sampled with a seed; radar steps are ordered by orbit, then day. Pixels without
-    any radar step get no vector; the map then holds zeros for them.
+    any radar step get no vector; the map then holds zeros for them. With failures, pixels that can't be computed
+    are rows with an error and no vector.
     """
     keys = ["patch_id", "idx"]
     valid = series.valid_pixels(optical, radar, keys, least).select(*keys)
@@ -69,7 +75,12 @@ def embed(optical: DataFrame, radar: DataFrame, weights: dict, config: network.C
         drawn = series.sample_steps(rows, keys, step, config.steps, seed, valid=ok)
         fields = list(dict.fromkeys([*keys, step, "bands", "doy"]))
         parts.append(network.model_input(drawn.join(rows.select(*fields), [*keys, step]), keys, *facts, name))
-    return network.represent(parts[0].join(parts[1], keys), keys, weights, config)
+    return network.represent(parts[0].join(parts[1], keys), keys, weights, config, failures=failures)
+
+
+def failed_patches(vectors: DataFrame) -> DataFrame:
+    """patch_id, error: patches of which a pixel failed, with its least message, for status()."""
+    return vectors.filter("error is not null").groupBy("patch_id").agg(F.min("error").alias("error"))
 
 
 def stitched(spark: SparkSession, vectors: DataFrame, width: int, height: int, bands: int = 128) -> DataFrame:
@@ -92,3 +103,46 @@ def status(wanted: DataFrame, made: DataFrame, failed: DataFrame | None = None,
         rows = rows.withColumn("error", F.lit(None).cast("string"))
     state = F.when(F.col("_made"), "done").when(F.col("error").isNotNull(), "failed").otherwise("missing")
     return rows.select(key, state.alias("status"), "error")
+
+
+def progress(states: DataFrame, seconds: float) -> DataFrame:
+    """total, done, failed, missing, keys an hour, and the time that the missing ones need at that rate (null without any done)."""
+    n = lambda state: F.count_if(F.col("status") == state).alias(state)
+    counts = states.agg(F.count(F.lit(1)).alias("total"), n("done"), n("failed"), n("missing"))
+    rate = F.col("done") * F.lit(3600.0 / max(seconds, 1e-9))
+    return counts.withColumns({"per_hour": rate, "eta": scalar.duration_text(F.floor(F.try_divide(F.col("missing") * F.lit(3600.0), rate)))})
+
+
+def first_keys(work: DataFrame, key: str, n: int = 3) -> DataFrame:
+    """The first keys of a work list, for display."""
+    return work.select(key).distinct().orderBy(key).limit(n)
+
+
+def run_stage(spark: SparkSession, wanted: DataFrame, make, path: str, key: str = "patch_id") -> DataFrame:
+    """Makes the rows of the wanted keys that aren't in the table at path yet, appends them, and returns every key's status.
+
+    make(pending) gives rows with the key and, of keys that failed, an error; their message goes to
+    path_failed, and a later run tries them again. A run that stops midway loses nothing that was appended.
+    """
+    done = _table(spark, path)
+    todo = wanted.select(key).distinct() if done is None else scenes.pending(wanted.select(key).distinct(), done, key)
+    made = make(todo)
+    bad = F.col("error").isNotNull() if "error" in made.columns else F.lit(False)
+    if "error" in made.columns:
+        made.write.mode("overwrite").parquet(f"{path}_last")  # decided once, then dealt out
+        made = spark.read.parquet(f"{path}_last")
+        made.filter(bad).groupBy(key).agg(F.min("error").alias("error")).write.mode("overwrite").parquet(f"{path}_failed")
+        good = scenes.pending(made, spark.read.parquet(f"{path}_failed"), key).drop("error")
+    else:
+        good = made
+    good.write.mode("append").parquet(path)
+    failed = spark.read.parquet(f"{path}_failed") if "error" in made.columns else None
+    return status(wanted.select(key).distinct(), spark.read.parquet(path), failed, key)
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at path, or None where nothing was written yet."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        return None
+    return spark.read.parquet(path)
