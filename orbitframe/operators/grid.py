@@ -80,6 +80,63 @@ def stitch(patches: DataFrame, value: str, order: list[str]) -> DataFrame:
     return moved.groupBy("col", "row").agg(F.max_by(value, F.struct(*order)).alias(value))
 
 
+def stitch_windows(patches: DataFrame, target: dict) -> DataFrame:
+    """patches with the windows they fill in a target raster, and those of their own pixels that go there.
+
+    patches: patch_id, left, top, a, e (pixel size, e negative), width, height (pixels of the
+    patch's raster), rep_width, rep_height (pixels of what was made of it). target: left, top, a, e,
+    width, height. Windows are rounded half to even and held inside; patches without a common part go.
+    """
+    size = lambda name: F.lit(target[name])
+    right, bottom = F.col("left") + F.col("a") * F.col("width"), F.col("top") + F.col("e") * F.col("height")
+    cols = scalar.bounds_window(F.col("left"), right, float(target["left"]), float(target["a"]), size("width"))
+    rows = scalar.bounds_window(F.col("top"), bottom, float(target["top"]), float(target["e"]), size("height"))
+    met = patches.withColumns({"dst_c": cols, "dst_r": rows}).filter("dst_c is not null and dst_r is not null")
+
+    def back(dst: str, origin: str, step: str, own: str, made: str) -> Column:
+        """The window of a patch's own pixels that covers a target window."""
+        at = lambda k: float(target[origin]) + F.col(f"{dst}.{k}") * float(target[step])
+        scale = F.col(made) / F.col(own)
+        offset, length = (at("start") - F.col(origin)) / F.col(step), (at("end") - at("start")) / F.col(step)
+        low = F.greatest(F.lit(0), F.bround(offset * scale).cast("int"))
+        high = F.least(F.col(made).cast("int"), F.bround((offset + length) * scale).cast("int"))
+        return F.struct(low.alias("start"), high.alias("end"))
+
+    met = met.withColumns({"src_c": back("dst_c", "left", "a", "width", "rep_width"), "src_r": back("dst_r", "top", "e", "height", "rep_height")})
+    return met.filter("src_c.start < src_c.end and src_r.start < src_r.end and dst_c.start < dst_c.end and dst_r.start < dst_r.end")
+
+
+def stitch_crop(patches: DataFrame, vectors: DataFrame, target: dict) -> DataFrame:
+    """col, row, vec of a target raster from rows (patch_id, row, col, vec): see stitch_windows for patches.
+
+    Where a patch's window and its target's have one size, pixels are moved; else each target pixel
+    is bilinear between the four around its place, held inside the window. Of patches that fill the same
+    pixel the last by name wins. Patches without vectors leave nothing.
+    """
+    windows = stitch_windows(patches, target)
+    size = lambda w: F.col(f"{w}.end") - F.col(f"{w}.start")
+    place = windows.select("patch_id", "dst_c", "dst_r", "src_c", "src_r", ((size("src_c") == size("dst_c")) & (size("src_r") == size("dst_r"))).alias("same"))
+    held = vectors.select("patch_id", F.col("row").alias("sr"), F.col("col").alias("sc"), "vec")
+    moved = held.join(place.filter("same"), "patch_id").filter("sr >= src_r.start and sr < src_r.end and sc >= src_c.start and sc < src_c.end")
+    moved = moved.select("patch_id", (F.col("dst_c.start") + F.col("sc") - F.col("src_c.start")).alias("col"), (F.col("dst_r.start") + F.col("sr") - F.col("src_r.start")).alias("row"), "vec")
+    asked = place.filter("not same").join(vectors.select("patch_id").distinct(), "patch_id", "left_semi")
+    asked = asked.withColumn("col", F.explode(F.sequence(F.col("dst_c.start"), F.col("dst_c.end") - 1))).withColumn("row", F.explode(F.sequence(F.col("dst_r.start"), F.col("dst_r.end") - 1)))
+    at = lambda src, dst, k: F.col(f"{src}.start") + (F.col(k) - F.col(f"{dst}.start")) * (size(src) / size(dst))
+    asked = asked.withColumns({"_y": at("src_r", "dst_r", "row"), "_x": at("src_c", "dst_c", "col")})
+    asked = asked.withColumns({"y0": F.floor("_y").cast("int"), "x0": F.floor("_x").cast("int"), "fy": F.col("_y") - F.floor("_y"), "fx": F.col("_x") - F.floor("_x")})
+    asked = asked.withColumns({"y1": F.least(F.col("y0") + 1, F.col("src_r.end") - 1), "x1": F.least(F.col("x0") + 1, F.col("src_c.end") - 1)})
+    fx, fy = F.col("fx"), F.col("fy")
+    corner = lambda y, x, w: F.struct(F.col(y).alias("sr"), F.col(x).alias("sc"), w.alias("w"))
+    corners = F.array(corner("y0", "x0", (1 - fy) * (1 - fx)), corner("y0", "x1", (1 - fy) * fx), corner("y1", "x0", fy * (1 - fx)), corner("y1", "x1", fy * fx))
+    parts = asked.select("patch_id", "col", "row", F.inline(corners)).join(held, ["patch_id", "sr", "sc"])
+    parts = parts.groupBy("patch_id", "col", "row").agg(F.collect_list(F.struct("w", "vec")).alias("_p"))  # four at most
+    scaled = F.transform("_p", lambda p: F.transform(p["vec"], lambda x: x.cast("double") * p["w"]))
+    total = F.aggregate(F.slice(scaled, 2, 3), F.get(scaled, F.lit(0)), lambda s, v: F.zip_with(s, v, lambda x, y: x + y))
+    smooth = parts.select("patch_id", "col", "row", F.transform(total, lambda x: x.cast("float")).alias("vec"))
+    every = moved.withColumn("vec", F.transform("vec", lambda x: x.cast("float"))).unionByName(smooth)
+    return every.groupBy("col", "row").agg(F.max_by("vec", "patch_id").alias("vec"))
+
+
 def _target(spark: SparkSession, width: int, height: int) -> DataFrame:
     cells = spark.range(width * height)
     return cells.select((F.col("id") % width).cast("int").alias("col"), F.floor(F.col("id") / width).cast("int").alias("row"))

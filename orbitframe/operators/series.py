@@ -25,16 +25,17 @@ def merge_last(observations: DataFrame, keys: list[str], value: str, order: list
     return observations.groupBy(*keys).agg(F.max_by(value, F.struct(*order)).alias(value))
 
 
-def valid_pixels(optical: DataFrame, radar: DataFrame, keys: list[str], least: int = 0) -> DataFrame:
+def valid_pixels(optical: DataFrame, radar: DataFrame, keys: list[str], least: int = 0, facts: tuple[Column, ...] = ()) -> DataFrame:
     """Pixels with a non-zero optical value and at least `least` valid steps of either sensor.
 
-    optical: keys, bands, mask; radar: keys, bands. Both are aggregated before they meet.
+    optical: keys, bands, mask; radar: keys, bands. Both are aggregated before they meet; facts are
+    further aggregates of the optical rows, taken along.
     """
     seen = F.exists("bands", lambda x: x != 0)
-    left = optical.groupBy(*keys).agg(F.bool_or(seen).alias("_seen"), F.sum("mask").alias("optical_steps"))
+    left = optical.groupBy(*keys).agg(F.bool_or(seen).alias("_seen"), F.sum("mask").alias("optical_steps"), *facts)
     right = radar.groupBy(*keys).agg(F.count_if(seen).alias("radar_steps"))
-    both = left.join(right, keys, "left").withColumn("radar_steps", F.coalesce("radar_steps", F.lit(0)))
-    return both.filter(F.col("_seen") & (F.col("optical_steps") >= least) & (F.col("radar_steps") >= least)).drop("_seen")
+    both = left.filter(F.col("_seen") & (F.col("optical_steps") >= least)).join(right, keys, "left").withColumn("radar_steps", F.coalesce("radar_steps", F.lit(0)))
+    return both.filter(F.col("radar_steps") >= least).drop("_seen")
 
 
 def pixel_series(observations: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
@@ -54,11 +55,11 @@ def sample_steps(observations: DataFrame, keys: list[str], step: str, k: int, se
     where there are k, else every draw is made on its own. The same seed gives the same steps.
     """
     usable = F.coalesce(valid, F.lit(False)).cast("int") if valid is not None else F.lit(1)
-    best = F.max("_valid").over(Window.partitionBy(*keys))
-    pool = observations.select(*keys, step, usable.alias("_valid")).withColumn("_best", best).filter(F.col("_valid") == F.col("_best"))
-    drawn = Window.partitionBy(*keys).orderBy(seeded_order(seed, *(F.col(c) for c in (*keys, step))), step)
-    pool = pool.withColumn("_at", F.row_number().over(drawn)).filter(F.col("_at") <= k)
-    lists = pool.groupBy(*keys).agg(F.array_sort(F.collect_list(step)).alias("_pool"))
+    # one aggregation: a group's steps are the days of its series, some hundred at most
+    row = F.struct(usable.alias("ok"), seeded_order(seed, *(F.col(c) for c in (*keys, step))).alias("order"), F.col(step).alias("step"))
+    lists = observations.groupBy(*keys).agg(F.max(usable).alias("_best"), F.collect_list(row).alias("_all"))
+    pool = F.slice(F.array_sort(F.filter("_all", lambda r: r["ok"] == F.col("_best"))), 1, k)
+    lists = lists.select(*keys, F.array_sort(F.transform(pool, lambda r: r["step"])).alias("_pool"))
     size = F.size("_pool")
     digits = lambda i: F.conv(F.substring(seeded_order(seed, *map(F.col, keys), i), 1, 8), 16, 10).cast("long")
     draw = lambda i: F.element_at("_pool", (digits(i) % size + 1).cast("int"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar
 from ..operators import scenes
+from . import lifecycle
 from .registry import query, table
 
 
@@ -158,14 +159,34 @@ def work_split(spark, d):
 
 
 @query("""
-    WITH a AS (SELECT DISTINCT dayofyear(ts) AS doy FROM events WHERE event_type = 'click'),
-         b AS (SELECT DISTINCT dayofyear(ts) AS doy FROM events WHERE event_type = 'purchase' AND value > 20)
-    SELECT CAST(doy AS INTEGER) AS doy, 'missing' AS kind FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
-    UNION ALL SELECT CAST(doy AS INTEGER), 'extra' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)
+    WITH a AS (SELECT DISTINCT CAST(dayofyear(ts) AS INTEGER) AS day, user_id % 50 AS tile FROM events WHERE event_type = 'click'),
+         b AS (SELECT DISTINCT CAST(dayofyear(ts) AS INTEGER) AS day, user_id % 50 AS tile FROM events WHERE event_type = 'purchase' AND value > 20)
+    SELECT tile, day, 'missing' AS kind FROM a WHERE (tile, day) NOT IN (SELECT (tile, day) FROM b)
+    UNION ALL SELECT tile, day, 'extra' FROM b WHERE (tile, day) NOT IN (SELECT (tile, day) FROM a)
 """)
 def doy_reconcile(spark, d):
-    events = table(spark, d, "events").withColumn("doy", F.dayofyear("ts"))
-    return scenes.reconcile(events.filter("event_type = 'click'").select("doy"), events.filter("event_type = 'purchase' and value > 20").select("doy"))
+    """Days of a tile that a stack lacks, or has beyond the others."""
+    events = table(spark, d, "events").select("event_type", "value", F.dayofyear("ts").alias("day"), (F.col("user_id") % 50).alias("tile"))
+    before, after = events.filter("event_type = 'click'"), events.filter("event_type = 'purchase' and value > 20")
+    return scenes.reconcile(before.select("tile", "day"), after.select("tile", "day"))
+
+
+@query("""
+    WITH w AS (SELECT DISTINCT c_custkey AS k FROM customer), s AS (
+        SELECT k, CASE WHEN bool_or(o_orderstatus = 'F') THEN 'done' WHEN bool_or(o_orderstatus = 'O') THEN 'failed' ELSE 'missing' END AS status FROM w LEFT JOIN orders ON o_custkey = k GROUP BY k),
+    c AS (SELECT count(*) AS total, count(*) FILTER (status = 'done') AS done, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'missing') AS missing FROM s)
+    SELECT *, done * 1.0::DOUBLE AS per_hour, CASE WHEN done > 0 THEN CAST(floor(missing * 3600.0::DOUBLE / done) AS BIGINT) END AS seconds,
+           (SELECT string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) FROM (SELECT k FROM w ORDER BY k LIMIT 3)) AS first FROM c
+""")
+def run_progress(spark, d):
+    """Counts of done, failed and missing keys of a run of an hour, its rate, the seconds left, and the first keys."""
+    wanted = table(spark, d, "customer").select(F.col("c_custkey").alias("patch_id"))
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("patch_id"), "o_orderstatus")
+    failed = orders.filter("o_orderstatus = 'O'").select("patch_id").distinct().withColumn("error", F.lit("x"))
+    states = lifecycle.status(wanted, orders.filter("o_orderstatus = 'F'"), failed)
+    first = lifecycle.first_keys(wanted, "patch_id", 3).agg(F.array_join(F.array_sort(F.collect_list("patch_id")), ",").alias("first"))
+    left = F.floor(F.try_divide(F.col("missing") * F.lit(3600.0), F.col("per_hour"))).alias("seconds")
+    return lifecycle.progress(states, 3600.0).select("total", "done", "failed", "missing", "per_hour", left).join(first, F.lit(True))
 
 
 @query("""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions import scalar
 from ..operators import network, series
@@ -59,10 +59,10 @@ def valid_pixels(spark, d):
     rows = _observed(spark, d)
     scaled = F.when(F.col("value") > 0, scalar.sar_db(F.col("value")).cast("int")).otherwise(0)
     merged = series.merge_valid_first(rows.withColumn("db", scaled), ["pixel", "doy"], "db", "mask", ["event_id"])
-    facts = merged.groupBy("pixel").agg(F.count(F.lit(1)).alias("days"), F.round(F.avg("db"), 6).alias("mean_db"))
-    optical = merged.select("pixel", F.array("db").alias("bands"), "mask")
+    optical = merged.select("pixel", F.array("db").alias("bands"), "mask", "db")
+    facts = F.count(F.lit(1)).alias("days"), F.round(F.avg("db"), 6).alias("mean_db")
     radar = rows.filter(F.col("event_type").isin("click", "purchase")).select("pixel", F.array("value").alias("bands"))
-    return series.valid_pixels(optical, radar, ["pixel"], least=5).join(facts, "pixel")
+    return series.valid_pixels(optical, radar, ["pixel"], 5, facts)
 
 
 @query(f"""
@@ -113,6 +113,20 @@ def sample_k_without_replacement(spark, d):
     return drawn.join(enough.filter("valid >= 3 or (valid = 0 and n >= 3)").select("pixel"), "pixel", "left_semi")
 
 
+@query(_POOL.replace("DRAWN", str(DRAWN)) + f"""
+    , t AS (SELECT pixel, n, unnest(list_sort(list_transform(range({DRAWN}), lambda i:
+            pool[1 + CAST('0x' || substr(md5(concat_ws('|', '{SEED}', CAST(pixel AS VARCHAR), CAST(i AS VARCHAR))), 1, 8) AS BIGINT) % n]))) AS event_id FROM l WHERE n < {DRAWN})
+    SELECT pixel, event_id, count(*) AS draws FROM t GROUP BY pixel, event_id
+""")
+def sample_k_with_replacement(spark, d):
+    """How often each step of the pixels with fewer steps than draws is drawn."""
+    rows = _observed(spark, d)
+    drawn = series.sample_steps(rows, ["pixel"], "event_id", DRAWN, SEED, valid=F.col("mask") == 1)
+    pools = rows.groupBy("pixel").agg(F.sum("mask").alias("valid"), F.count(F.lit(1)).alias("n"))
+    few = pools.filter(F.when(F.col("valid") > 0, F.col("valid")).otherwise(F.col("n")) < DRAWN).select("pixel")
+    return drawn.join(few, "pixel", "left_semi").groupBy("pixel", "event_id").agg(F.count(F.lit(1)).alias("draws"))
+
+
 @query(f"SELECT event_id, round((value - {MEAN}::DOUBLE) / ({DEVIATION}::DOUBLE + 1e-9), 6) AS z, CAST(trunc(value) AS INTEGER) AS whole FROM events")
 def standardize(spark, d):
     return table(spark, d, "events").select("event_id", F.round(scalar.standardise(F.col("value"), MEAN, DEVIATION), 6).alias("z"), F.col("value").cast("int").alias("whole"))
@@ -153,7 +167,7 @@ def _pairs(spark, d):
     return rows.join(other, "vec_id")
 
 
-_PAIRS = "SELECT a.vec_id, a.embedding AS x, b.embedding AS y FROM embeddings a JOIN embeddings b ON b.vec_id = (a.vec_id + 1) % 500 WHERE a.vec_id < 500 AND b.vec_id < 500"
+_PAIRS = "SELECT a.vec_id, a.embedding AS x, b.embedding AS y FROM embeddings a JOIN embeddings b ON b.vec_id = (a.vec_id + 1) % (SELECT max(vec_id) + 1 FROM embeddings)"
 
 
 @query(f"WITH p AS ({_PAIRS}) SELECT vec_id, CAST(len(x || y) AS INTEGER) AS n, round((x || y)[65]::DOUBLE, 6) AS first_of_second FROM p")
@@ -193,6 +207,71 @@ def s2_stack(spark, d):
     return made.select("pixel", "doy", F.col("bands")[0].alias("a"), F.col("bands")[1].alias("b"), F.col("mask").cast("int").alias("mask"))
 
 
+#: A model small enough for SQL: two bands a sensor, width 4, two heads, one layer, three steps.
+_TOY = network.Config(optical_bands=2, radar_bands=2, latent=1, heads=2, layers=1, hidden=4, steps=3)
+_FACTS = ([MEAN, 6.5], [DEVIATION, 2.7])
+
+
+def _linear(name: str, x: str) -> str:
+    """SQL of a linear layer of a list."""
+    w = network.random_weights(_TOY, 3)
+    rows = ", ".join("[" + ", ".join(f"{v!r}::DOUBLE" for v in [*row.tolist(), float(b)]) + "]" for row, b in zip(w[f"{name}.weight"], w[f"{name}.bias"]))
+    return f"list_transform([{rows}], lambda r: list_dot_product(r, list_append({x}, 1.0)))"
+
+
+def _tower(t: str) -> str:
+    """SQL of a tower: from {t}_x (pixel, k, b, doy) to {t} (pixel, v)."""
+    plus = lambda a, b: f"list_transform(list_zip({a}, {b}), lambda z: z[1] + z[2])"
+    relu = lambda a: f"list_transform({a}, lambda v: greatest(v, 0))"
+    norm = "list_transform(y, lambda v: (v - list_avg(y)) / sqrt(list_var_pop(y) + 1e-5))"
+    days = "[sin(doy * 1.0), cos(doy * 1.0), sin(doy * exp(-ln(10000) / 2)), cos(doy * exp(-ln(10000) / 2))]"
+    gate = "(1 / (1 + exp(-(g[{0} + i] + c[{0} + i]))))"
+    state = f"list_transform(range(1, 5), lambda i: (1 - {gate.format(4)}) * tanh(g[8 + i] + {gate.format(0)} * c[8 + i]) + {gate.format(4)} * s[i])"
+    steps = [f"{t}_s0 AS (SELECT pixel, k, {state} AS s FROM (SELECT pixel, k, g, [0.0, 0.0, 0.0, 0.0] AS s, {_linear(f'{t}.gru_h', '[0.0, 0.0, 0.0, 0.0]')} AS c FROM {t}_g WHERE k = 0))"]
+    for k in (1, 2):
+        steps.append(f"{t}_s{k} AS (SELECT pixel, k, {state} AS s FROM (SELECT g.pixel, g.k, g.g, p.s, {_linear(f'{t}.gru_h', 'p.s')} AS c FROM {t}_g g JOIN {t}_s{k - 1} p ON p.pixel = g.pixel AND g.k = {k}))")
+    return f"""
+    {t}_e AS (SELECT pixel, k, {plus(_linear(f"{t}.embed1", relu(_linear(f"{t}.embed0", "b"))), days)} AS h FROM {t}_x),
+    {t}_p AS (SELECT *, {_linear(f"{t}.layer0.in", "h")} AS p FROM {t}_e),
+    {t}_a AS (SELECT a.pixel, a.k, j, list_dot_product(a.p[1 + 2 * j:2 + 2 * j], b.p[5 + 2 * j:6 + 2 * j]) / sqrt(2) AS s, b.p[9 + 2 * j] AS v1, b.p[10 + 2 * j] AS v2
+              FROM {t}_p a JOIN {t}_p b ON a.pixel = b.pixel, (SELECT unnest([0, 1]) AS j)),
+    {t}_w AS (SELECT *, exp(s - max(s) OVER (PARTITION BY pixel, k, j)) AS e FROM {t}_a),
+    {t}_m AS (SELECT pixel, k, j, sum(e * v1) / sum(e) AS m1, sum(e * v2) / sum(e) AS m2 FROM {t}_w GROUP BY ALL),
+    {t}_o AS (SELECT pixel, k, [max(m1) FILTER (j = 0), max(m2) FILTER (j = 0), max(m1) FILTER (j = 1), max(m2) FILTER (j = 1)] AS o FROM {t}_m GROUP BY ALL),
+    {t}_n AS (SELECT pixel, k, {norm} AS h FROM (SELECT e.pixel, e.k, {plus("h", _linear(f"{t}.layer0.out", "o"))} AS y FROM {t}_e e JOIN {t}_o o ON e.pixel = o.pixel AND e.k = o.k)),
+    {t}_h AS (SELECT pixel, k, {norm} AS h FROM (SELECT pixel, k, {plus("h", _linear(f"{t}.layer0.ff1", relu(_linear(f"{t}.layer0.ff0", "h"))))} AS y FROM {t}_n)),
+    {t}_g AS (SELECT pixel, k, {_linear(f"{t}.gru_x", "h")} AS g FROM {t}_h), {", ".join(steps)},
+    {t}_c AS (SELECT pixel, k, ({_linear(f"{t}.score", "s")})[1] AS c FROM (SELECT * FROM {t}_s0 UNION ALL SELECT * FROM {t}_s1 UNION ALL SELECT * FROM {t}_s2)),
+    {t}_q AS (SELECT h.pixel, h, exp(c - max(c) OVER (PARTITION BY h.pixel)) AS e FROM {t}_c c JOIN {t}_h h ON c.pixel = h.pixel AND c.k = h.k),
+    {t} AS (SELECT pixel, [sum(e * h[1]) / sum(e), sum(e * h[2]) / sum(e), sum(e * h[3]) / sum(e), sum(e * h[4]) / sum(e)] AS v FROM {t}_q GROUP BY pixel)"""
+
+
+_SCALED = ", ".join(f"({x} - {m}::DOUBLE) / ({s}::DOUBLE + 1e-9)" for x, m, s in zip(("value", "sqrt(value)"), *_FACTS))
+
+
+@query(f"""
+    WITH o AS ({_OBSERVED}), first AS (
+        SELECT 's2' AS sensor, *, row_number() OVER (PARTITION BY pixel ORDER BY event_id) - 1 AS k FROM o WHERE mask = 1
+        UNION ALL SELECT 's1', *, row_number() OVER (PARTITION BY pixel ORDER BY event_id) - 1 FROM o WHERE event_type IN ('click', 'purchase')),
+    s2_x AS (SELECT pixel, k, [{_SCALED}] AS b, doy FROM first WHERE sensor = 's2' AND k < 3 AND pixel IN (SELECT pixel FROM first WHERE sensor = 's2' AND k = 2)),
+    s1_x AS (SELECT pixel, k, [{_SCALED}] AS b, doy FROM first WHERE sensor = 's1' AND k < 3 AND pixel IN (SELECT pixel FROM first WHERE sensor = 's1' AND k = 2)),
+    {_tower("s2")}, {_tower("s1")},
+    r AS (SELECT pixel, {_linear("reduce", "v")} AS y FROM (SELECT a.pixel, a.v || b.v AS v FROM s2 a JOIN s1 b ON a.pixel = b.pixel))
+    SELECT pixel, CAST(generate_subscripts(y, 1) - 1 AS INTEGER) AS place, round(unnest(y), 4) AS x FROM r
+""")
+def nn_forward_toy(spark, d):
+    """Two towers over each pixel's first three steps of either sensor: embedding, attention, recurrence, pooling, reduction."""
+    rows = _observed(spark, d).withColumn("bands", F.array("value", F.sqrt("value")))
+
+    def inputs(name, kept):
+        first = kept.withColumn("place", F.row_number().over(Window.partitionBy("pixel").orderBy("event_id")) - 1).filter(F.col("place") < _TOY.steps)
+        return network.model_input(first, ["pixel"], *_FACTS, name).filter(F.size(name) == _TOY.steps)
+
+    both = inputs("s2", rows.filter("mask = 1")).join(inputs("s1", rows.filter("event_type in ('click', 'purchase')")), "pixel")
+    made = network.represent(both, ["pixel"], network.random_weights(_TOY, 3), _TOY, dtype="float64")
+    return made.select("pixel", F.posexplode("vec").alias("place", "x")).select("pixel", "place", F.round(F.col("x").cast("double"), 4).alias("x"))
+
+
 @query(None)
 def nn_forward_tiny(spark, d):
     """Series, sampling, standardisation, two towers: the inference plan on events, with a tiny seeded model."""

@@ -18,14 +18,21 @@ def ingest(spark: SparkSession, source: str, schema: StructType, store: str, mer
     """Starts a query over the Parquet files in source that ends when all present files are taken.
 
     store keeps observations, merged the valid-first merge of each key, one folder per batch.
-    `touched` are the columns of keys by which groups are recomputed, such as tile and doy.
+    `touched` are the columns of keys by which groups are recomputed, such as tile and doy; the store
+    is partitioned by them, so a batch reads the folders of the values it holds, not the whole store.
     """
+    kept = StructType([f for f in schema if f.name not in touched] + [f for f in schema if f.name in touched]).add("batch", "long")
 
     def batch(new: DataFrame, number: int) -> None:
-        new.write.mode("overwrite").parquet(f"{store}/batch={number}")
-        every = spark.read.parquet(store).filter(F.col("batch") <= number)
-        groups = spark.read.parquet(f"{store}/batch={number}").select(*touched).distinct()
-        again = every.join(groups, touched, "left_semi")
+        rows = new.withColumn("batch", F.lit(number).cast("long"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*touched, "batch").parquet(store)
+        groups = new.select(*touched).distinct()
+        # one row per group of this batch
+        held = groups.agg(*[F.collect_set(c).alias(c) for c in touched]).first()
+        every = spark.read.schema(kept).parquet(store).filter(F.col("batch") <= number)
+        for c in touched:
+            every = every.filter(F.col(c).isin(held[c]))
+        again = every.join(F.broadcast(groups), touched, "left_semi")
         series.merge_valid_first(again, keys, value, mask, order).write.mode("overwrite").parquet(f"{merged}/batch={number}")
 
     rows = spark.readStream.schema(schema).parquet(source)
