@@ -12,7 +12,8 @@ template is confirmed where at least CONFIRM of its pairs of neighbouring conten
 within WINDOW words. Each such stretch, cut to its first and last pair, is classified by itself, and
 counts if the predicted family is the template's, so notices side by side are each
 reported. Where templates of two families hold the same words (half of a stretch's pairs), the
-larger share of a template wins. As a stretch takes CONTENT_WORDS distinct content words of the
+larger share of a template wins. Machine-readable tags (SPDX) name their licence and are reported beside
+the notices. As a stretch takes CONTENT_WORDS distinct content words of the
 templates, texts with fewer are skipped without changing any result.
 
 Null texts count as empty, without spans; rows of a repeated or null doc_id are each
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.workers import ship
-from .common import clean_text
+from .common import clean_text, small
 
 WINDOW, CONFIRM, CONTENT_WORDS = 64, 0.7, 3
 FALSE_SHARE, VARIANTS, ROUNDS = 0.002, 40, 400
@@ -92,6 +93,14 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Unauthorized copying of this file, via any medium, is strictly prohibited.",
     ),
 }
+#: Names that a licence tag gives a family by.
+TAGS = {
+    "MIT": ("MIT",), "Apache": ("Apache-2.0",), "GPL": ("GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later"), "LGPL": ("LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only"),
+    "AGPL": ("AGPL-3.0-only", "AGPL-3.0-or-later"), "BSD": ("BSD-2-Clause", "BSD-3-Clause"), "MPL": ("MPL-2.0",), "CC-BY": ("CC-BY-4.0",), "CC-BY-SA": ("CC-BY-SA-4.0",),
+    "CC-BY-NC": ("CC-BY-NC-4.0",), "PublicDomain": ("CC0-1.0", "Unlicense"),
+}
+FAMILY_OF = {tag.lower(): family for family, tags in TAGS.items() for tag in tags}
+_TAG = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+-]+)")
 #: Prose that is no notice.
 PROSE = (
     "you need a driving license to rent a car in most countries",
@@ -267,7 +276,20 @@ def stretches(found: list[str]) -> list[tuple[int, int, str, set[int]]]:
     return [s[2:] for s in sorted(out, key=lambda s: s[:5])]
 
 
+def tagged(text: str) -> list[tuple[int, int, str, float]]:
+    """(start, end, family, 1) of the licence tags of a text, which name their licence."""
+    if "SPDX-License-Identifier" not in text:
+        return []
+    found = ((m.span(), FAMILY_OF.get(m[1].lower().rstrip("."))) for m in _TAG.finditer(text))
+    return [(*span, family, 1.0) for span, family in found if family]
+
+
 def spans(text: str, model: Classifier) -> list[tuple[int, int, str, float]]:
+    """(start, end, family, probability) of the notices and tags of a whole text, by start."""
+    return sorted(tagged(text) + notices(text, model))
+
+
+def notices(text: str, model: Classifier) -> list[tuple[int, int, str, float]]:
     """(start, end, family, probability) of the notices of a whole text, by start."""
     low, origin = lowered(text)
     found = _WORD.findall(low)
@@ -305,7 +327,7 @@ def licences(spark: SparkSession, docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(fit())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found = [spans(t, shared.value) for t in batch.column("_of_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
