@@ -42,8 +42,8 @@ from .common import clean_text
 BLOCK_BYTES = 32 << 20
 #: Ids that are decoded and hashed at a time, at least one document.
 CHUNK_IDS = 1 << 20
-#: Entries of a worker's memory of pre-tokens, and of words; a full one starts anew.
-CACHE_ENTRIES = 250_000
+#: Entries of a worker's memory of pre-tokens; a full one starts anew.
+CACHE_ENTRIES = 600_000
 #: Fixed value: the splitter's pattern of the vocabulary file that this module supports.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters for which the short paths below equal the library (tests compare all of them):
@@ -61,9 +61,9 @@ def byte_letters() -> list[str]:
 
 
 def splitter(pattern: str):
-    """findall of the splitter's pattern for lower-case texts of simple characters, by Python's re.
+    """findall of the splitter's pattern for lower-case lines of simple characters, by Python's re.
 
-    The classes are written out; only the apostrophe starts two alternatives, kept in order.
+    The classes are written out; only the apostrophe starts two alternatives, kept in order. Line ends are found, too.
     """
     import regex
 
@@ -71,7 +71,7 @@ def splitter(pattern: str):
         raise ValueError("this vocabulary file's splitter isn't supported")
     held = lambda which: "".join(re.escape(chr(c)) for c in range(SIMPLE_END) if regex.match(which, chr(c)))
     letters, numbers, spaces = held(r"\p{L}"), held(r"\p{N}"), held(r"\s")
-    return re.compile(f"[{letters}]+|[{numbers}]|'(?:s|t|re|ve|m|ll|d)|[^{spaces}{letters}{numbers}]+").findall
+    return re.compile(f"[{letters}]+|[{numbers}]|'(?:s|t|re|ve|m|ll|d)|[^{spaces}{letters}{numbers}]+|\n").findall
 
 
 class Memo(dict):
@@ -106,32 +106,51 @@ class WordEncoder:
         self.opening = os.path.commonprefix([t["content"] for t in spec["added_tokens"]])
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)").search
         self.letters = byte_letters()
-        self.pieces, self.words = Memo(cache_entries, self._piece), Memo(cache_entries, self.word)
+        self.pieces = Memo(cache_entries, self._piece)
 
     def _piece(self, piece: str) -> bytes:
-        """Ids of one pre-token, by the library's own merges."""
+        """Ids of one pre-token, by the library's own merges; none of a line end, at least one of any other."""
+        if piece == "\n":
+            return b""
         if not (piece.isascii() and piece.isprintable()):
             piece = "".join(map(self.letters.__getitem__, piece.encode()))
         ids = [t.id for t in self.tokenizer.model.tokenize(piece)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def word(self, word: str) -> bytes:
-        """Ids of a text without spaces and line ends."""
-        if (word.isascii() or _SIMPLE.match(word)) and not (self.opening in word and self.special(word)):
-            return b"".join(map(self.pieces.__getitem__, self.split(word.lower())))
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def simple(self, text: str) -> bool:
+        """Whether the short path holds for a text, or for the words of lines."""
+        return bool(text.isascii() or _SIMPLE.match(text)) and not (self.opening in text and self.special(text))
+
+    def words(self, words: list[str]) -> tuple[bytes, np.ndarray]:
+        """Ids of words (texts without spaces and line ends), one after the other, and how many each has."""
+        lines = "\n".join(words)
+        if self.simple(lines):
+            values = list(map(self.pieces.__getitem__, self.split(lines.lower())))
+            counts = np.fromiter(map(len, values), np.int64, len(values)) // 4
+            upto = np.concatenate([[0], np.cumsum(counts)])
+            # only line ends have no ids: they part the words
+            return b"".join(values), np.diff(upto[np.concatenate([[0], np.flatnonzero(counts == 0), [len(counts)]])])
+        kept = [self.simple(w) for w in words]
+        flat, lengths = self.words([w for w, k in zip(words, kept) if k]) if any(kept) else (b"", [])
+        ends, at, parts = np.cumsum(lengths, dtype=np.int64) * 4, 0, []
+        for w, k in zip(words, kept):
+            if k:
+                parts.append(flat[ends[at - 1] if at else 0 : ends[at]])
+                at += 1
+            else:
+                ids = self.tokenizer.encode(w, add_special_tokens=False).ids
+                parts.append(struct.pack(f"<{len(ids)}I", *ids))
+        return b"".join(parts), np.fromiter(map(len, parts), np.int64, len(parts)) // 4
 
     def text(self, text: str) -> bytes:
         """Ids of a whole text: the words' ids, by position."""
-        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+        return self.words(text.replace("\n", " ").split(" "))[0]
 
     def batch(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text, each distinct word looked up once."""
+        """Ids of each text, each distinct word encoded once."""
         words, numbers, sizes = numbered(texts)
-        values = list(map(self.words.__getitem__, words.to_pylist()))
-        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        return list(placed(np.frombuffer(b"".join(values), "<u4"), lengths, numbers, sizes)) if len(texts) else []
+        flat, lengths = self.words(words.to_pylist())
+        return list(placed(np.frombuffer(flat, "<u4"), lengths, numbers, sizes)) if len(texts) else []
 
 
 def numbered(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -248,9 +267,11 @@ def _encode_words(vocabulary):
                     made.append(data.as_py())
                     continue
                 names = open_(data.as_py()).decode().split("\n")
-                for name in names:
-                    if name not in known:
-                        known[name] = tool.word(name)
+                fresh = [name for name in names if name not in known]
+                if fresh:
+                    flat, lengths = tool.words(fresh)
+                    ends = (np.cumsum(lengths) * 4).tolist()
+                    known.update(zip(fresh, (flat[a:b] for a, b in zip([0, *ends], ends))))
                 values = list(map(known.__getitem__, names))
                 counts = np.fromiter(map(len, values), np.int64, len(values)) // 4
                 made.append(press(struct.pack("<q", len(values)) + planes(counts) + planes(np.frombuffer(b"".join(values), "<u4"))))
@@ -331,7 +352,8 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary_path: str, digest: b
     ship(spark)
     vocabulary = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("int")
+    # blocks are numbered by task and place, so those of neighbouring tasks go to different partitions
+    spread = F.pmod(F.shiftright("block", 32) + F.col("block").bitwiseAND((1 << 32) - 1) * 7919, F.lit(buckets)).cast("int")
     rows = docs.select("doc_id", clean_text().alias("_of_text")).mapInArrow(_split(buckets, block_bytes), ROWS)
     rows = rows.repartitionById(buckets, F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(spread))
     rows = rows.mapInArrow(_encode_words(vocabulary), ROWS).repartitionById(buckets, spread).sortWithinPartitions("block", "bucket")
