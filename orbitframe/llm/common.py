@@ -9,8 +9,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: A bitmap filter of up to 2**MAX_FILTER_BITS bits (16 MB) is broadcast. A larger one stays a
@@ -76,6 +77,13 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in parts, which bound what becomes Python objects at a time."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.slice(start, rows)
+
+
 def clean_text(column: str = "text") -> Column:
     """The text column; null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))

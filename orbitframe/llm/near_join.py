@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.workers import ship
 from . import common
-from .common import bitmap_filter, clean_text, drop_ids, filter_bits, join_groups, with_maybe, written
+from .common import bitmap_filter, clean_text, drop_ids, filter_bits, join_groups, small, with_maybe, written
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
 COORDINATES, ROUGH = 64, 0.6
@@ -152,7 +152,7 @@ def features(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = Shingler()
-        for batch in batches:
+        for batch in small(batches):
             n, one, two, sketches = [], [], [], []
             for text in batch.column("_of_text").to_pylist():
                 found = tool.shingles(text)
@@ -337,7 +337,7 @@ def exact_links(spark: SparkSession, docs: DataFrame, members: DataFrame, thresh
             made = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([*links.tolist(), *[0] * len(edges)], pa.int64()), pa.array([False] * len(reps) + [True] * len(edges))]
             return pa.RecordBatch.from_arrays(made, ["a", "b", "links", "edge"])
 
-        for batch in batches:
+        for batch in small(batches):
             for label, i, j, blocks, block, rep, fp1, fp2, copies, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if (label, i, j) != at:
                     if len(held) > 1:
