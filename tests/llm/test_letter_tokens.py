@@ -13,10 +13,10 @@ def test_letter_tokens_are_found(spark):
     rows = [(i, f"key {t} end") for i, t in enumerate(tokens)] + [(1000 + i, w) for i, w in enumerate(words)]
     scanned = {r.doc_id: r for r in secrets.digest(secrets.scan(spark, spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
     found = [scanned[i].spans == f"random:4:{4 + len(t)}" for i, t in enumerate(tokens)]
-    assert sum(found) >= 0.8 * len(tokens) and all(found[40:])
+    assert sum(found[:20]) < sum(found[20:40]) < sum(found[40:]) and sum(found[40:]) >= 15  # length-aware
     assert all(scanned[1000 + i].spans == "" for i in range(len(words)))
 
 
 def test_every_long_run_is_a_hypothesis():
     text = "AbCdEfGhIjKlMnOp internationalization 1234567890123456 short"
-    assert [(a, b) for a, b, _ in secrets.tested(text)] == [(0, 16), (17, 37), (38, 54)]
+    assert secrets.tested(text) == [(0, 16), (17, 37), (38, 54)]

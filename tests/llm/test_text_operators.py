@@ -1,6 +1,7 @@
 """Each operator against brute force, with nulls, empty texts, ties, repeated rows and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -77,6 +78,33 @@ def test_bpe_round_trip_of_ids(spark):
         assert r.ids == ids and got[r.doc_id].text == library.decode(ids, skip_special_tokens=False)
 
 
+def test_each_distinct_word_is_encoded_once(spark, monkeypatch):
+    """Over all blocks and tasks of a bucket a word is encoded once; its ids are joined back by position."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    import pyarrow.compute  # noqa: F401
+
+    vocabulary = bpe.read_vocabulary(WORDS)
+    monkeypatch.setattr(bpe, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    asked = []
+    real = bpe.WordEncoder.words
+    monkeypatch.setattr(bpe.WordEncoder, "words", lambda self, words: asked.extend(words) or real(self, words))
+    texts = ["the cat sat on the mat", "the dog", "cat and dog and cat", "", "mat\nmat mat"] * 3
+    docs_ = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "_of_text"])
+    rows = pa.Table.from_batches(list(bpe._split(2, 30)(iter([docs_]))))
+    assert len(set(rows.column("block").to_pylist())) > 3
+    shared, made = SimpleNamespace(value=vocabulary), []
+    for bucket in (0, 1):
+        part = rows.filter(pa.compute.equal(rows.column("bucket"), bucket))
+        made += bpe._encode_words(shared)(iter(part.to_batches()))
+    assert sorted(asked) == sorted({w for t in texts for w in t.replace("\n", " ").split(" ")})
+    whole = pa.Table.from_batches([*rows.filter(pa.compute.less(rows.column("bucket"), 0)).to_batches(), *made]).sort_by([("block", "ascending"), ("bucket", "ascending")])
+    got = {i: ids for b in bpe._join(shared, False)(iter(whole.to_batches())) for i, ids in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist())}
+    library = Tokenizer.from_file(WORDS)
+    assert got == {i: library.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+
+
 def test_short_path_equals_the_library_for_its_characters():
     vocabulary = bpe.read_vocabulary(WORDS)
     tool, library = bpe.WordEncoder(vocabulary), Tokenizer.from_str(vocabulary)
@@ -216,6 +244,36 @@ def test_toxicity_learns_pairs():
     assert ((p >= 0.5) == np.array(labels)).mean() > 0.95
 
 
+def brute_score(model, buckets):
+    """The machine's formula, term by term and pair by pair."""
+    at = sorted({int(model.index[b]) for b in buckets if model.index[b] >= 0})
+    total = model.bias + sum(float(model.weights[i]) for i in at)
+    for k, i in enumerate(at):
+        for j in at[k + 1 :]:
+            total += float(model.factors[i] @ model.factors[j])
+    return 1 / (1 + math.exp(-total))
+
+
+def test_scores_equal_pair_by_pair(spark):
+    table, labels = toxic_table(spark, 400)
+    model = toxicity.train(spark, table, labels)
+    assert len(model.weights) > 20 and np.abs(model.factors).max() > 0.05
+    got = by_id(toxicity.score(spark, table, model))
+    for r in table.limit(60).collect():
+        held = {b for w in re.findall(r"\w+", r.text.lower()) for b in (toxicity.bucket(w), *(toxicity.bucket(f"{w[:n]}*") for n in (4, 5) if len(w) > n))}
+        assert got[r.doc_id].score == pytest.approx(brute_score(model, held), abs=1e-9)
+
+
+def test_training_in_spark_equals_training_in_memory(spark):
+    table, labels = toxic_table(spark, 300)
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = sorted((r.doc_id, r.text) for r in table.collect() if zlib.crc32(str(r.doc_id).encode()) % 5)
+    lists = [np.array(sorted({b for w in toxicity.words(t) for b in toxicity.buckets(w)}), np.int32) for _, t in rows]
+    want = toxicity.fit(lists, np.array([float(truth[i]) for i, _ in rows]))
+    got = toxicity.train(spark, table, labels)
+    assert (got.index == want.index).all() and np.allclose(got.weights, want.weights) and np.allclose(got.factors, want.factors) and got.bias == pytest.approx(want.bias)
+
+
 def test_toxicity_odd_input(spark):
     table, labels = toxic_table(spark, 200)
     model = toxicity.train(spark, table, labels)
@@ -319,6 +377,31 @@ def test_jaccard_join_in_small_tiles_and_buckets(spark, monkeypatch):
     assert {i: (r.class_id, r.n_links) for i, r in got.items()} == brute_join(dict(enumerate(texts)))
 
 
+def test_jaccard_join_of_hot_and_deep_buckets(spark, monkeypatch):
+    """Groups larger than a bucket at every level, with and without the list of hot keys."""
+    texts = near_texts(40, 300, 7)
+    want = brute_join(dict(enumerate(texts)))
+    for hot, limit in ((1, 4), (1000, 4), (3, 30)):
+        monkeypatch.setattr(near_join, "HOT_KEYS", hot)
+        monkeypatch.setattr(near_join, "LIMIT", limit)
+        got = by_id(near_join.jaccard_join(spark, docs(spark, texts)))
+        assert {i: (r.class_id, r.n_links) for i, r in got.items()} == want
+
+
+def test_jaccard_join_recall_at_the_threshold(spark):
+    """Pairs of similarity just at the threshold, hard to meet: at least 99 in 100 are found."""
+    rng = random.Random(21)
+    texts = []
+    for _ in range(400):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(94)]
+        copy = list(base)
+        for k in (20, 70):  # each change costs five of 90 shingles on either side: 80 of 100 are common
+            copy[k] = f"x{rng.randrange(10**6)}"
+        texts += [" ".join(base), " ".join(copy)]
+    got = by_id(near_join.jaccard_join(spark, docs(spark, texts)))
+    assert sum(got[i].class_id == got[i + 1].class_id for i in range(0, 800, 2)) >= 396
+
+
 def test_jaccard_join_odd_input(spark):
     one = docs(spark, ["a b c d e f"])
     rows = near_join.jaccard_join(spark, one.union(one).union(one.withColumn("doc_id", F.lit(None).cast("long")))).collect()
@@ -362,6 +445,23 @@ def test_exact_dedup_with_a_full_filter_and_few_hot_groups(spark, monkeypatch):
     assert {i: (r.keep_id, r.group_size, r.kept, r.text_sha256) for i, r in got.items()} == brute_dedup(enumerate(texts))
 
 
+def test_exact_dedup_of_the_least_id(spark):
+    rows = [(-(2**63), "a b"), (2**63 - 1, "a b"), (0, "ab "), (None, "ab")]
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: (-(2**63), 4, i == -(2**63)) for i, _ in rows}
+
+
+def test_filters_let_unique_rows_pass(spark):
+    """Blocks of a filter: no repeated hash is missed, and nearly all others are cleared."""
+    rows = spark.range(40_000).select(F.xxhash64(F.when(F.col("id") < 500, F.col("id") % 250).otherwise(F.col("id"))).alias("h"), "id")
+    bits = common.filter_bits(40_000)
+    marked = common.with_maybe(rows, "h", bits, common.bitmap_filter(rows.select("h"), "h", bits, at_least=2)).filter("_of_maybe")
+    assert marked.filter("id < 500").count() == 500 and marked.count() < 500 + 0.05 * 40_000
+    few = rows.filter("id < 300")
+    marked = common.with_maybe(rows, "h", bits, common.bitmap_filter(few.select("h"), "h", bits)).filter("_of_maybe")
+    assert marked.filter("id < 500").count() == 500 and marked.count() < 900
+
+
 def test_exact_dedup_odd_input(spark):
     one = docs(spark, ["a b"])
     rows = exact_dedup.exact_dedup(spark, one.union(one).union(one.withColumn("doc_id", F.lit(None).cast("long")))).collect()
@@ -480,21 +580,82 @@ def test_secret_base_spans(spark):
     assert secrets.scan(spark, docs(spark, texts).limit(0)).count() == 0
 
 
+IDENTIFIERS = (
+    "getElementByIdAndReturn2ndChildOfNode Base64UrlEncodedStringBuilder testCase12ShouldReturnTrue com/example/project/service/UserServiceImpl "
+    "usr/local/lib/python3/dist-packages/numpy MAX_RETRY_COUNT_DEFAULT this_is_a_long_snake_case_identifier_42 123e4567-e89b-12d3-a456-426614174000 "
+    "internationalization aaaaaaaaaaaaaaaaaaaaaaaa1 0123456789abcdef0123456789abcdef ERROR2020000000000 AbstractSingletonProxyFactoryBean "
+    "x86_64-unknown-linux-gnu 2024-01-01T00-00-00 Donaudampfschifffahrtsgesellschaft"
+).split()
+
+
 def test_battery_tells_random_from_ordinary():
     rng = random.Random(6)
-    alphabets = {n: a for n, a in secrets.ENCODINGS}
-    passed = [min(secrets.battery("".join(rng.choices(alphabets[n], k=40)))[1:]) * 3 >= secrets.ALPHA for n in ("hex", "alnum", "base64") for _ in range(300)]
+    alphabets, null = dict(secrets.ENCODINGS), secrets.Null(secrets.letter_pairs(["plain words of a text"]))
+    passed = [null.battery.statistic("".join(rng.choices(alphabets[n], k=40))) < math.inf for n in ("hex", "alnum", "base64") for _ in range(300)]
     assert np.mean(passed) > 0.98
-    for token in ("aaaaaaaaaaaaaaaaaaaaaaaa1", "0123456789abcdef0123456789abcdef", "ERROR2020000000000"):
-        assert secrets.e_value(token) < 0
-    short, long = ("".join(rng.choices("0123456789abcdef", k=k)) for k in (16, 64))
-    assert secrets.e_value(long) > secrets.e_value(short)
+    assert all(null.score(len(t), null.battery.statistic(t)) < 2 for t in IDENTIFIERS)
+    middle = [np.median([null.score(k, null.battery.statistic("".join(rng.choices(alphabets["alnum"], k=k)))) for _ in range(60)]) for k in (16, 32, 64)]
+    assert middle[0] < middle[1] < middle[2] and middle[2] > 20  # length-aware
+
+
+def test_uniformity_and_runs_by_hand():
+    """The p-values of one token against sums written out here."""
+    null = secrets.Null(np.zeros(secrets._STATES**2, np.int64))
+    token = "0f1e2d3c4b5a69788796a5b4c3d2e1f0"
+    name, uniform, runs, serial = null.battery.tests(token)
+    assert name == "hex"
+    ranked = sorted("0123456789abcdef", key=lambda c: (-letter_share(c), "0123456789abcdef".index(c)))
+    parts = [ranked.index(c) * 6 // 16 for c in token]
+    expected = [sum(k * 6 // 16 == p for k in range(16)) / 16 * 32 for p in range(6)]
+    x = sum((parts.count(p) - e) ** 2 / e for p, e in enumerate(expected))
+    z = ((x / 5) ** (1 / 3) - (1 - 2 / 45)) / math.sqrt(2 / 45)
+    assert uniform == pytest.approx(0.5 * math.erfc(z / math.sqrt(2)))
+    change = 1 - (10 / 16) ** 2 - (6 / 16) ** 2
+    seen = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:]))
+    assert runs == pytest.approx(math.erfc(abs(seen - 31 * change) / math.sqrt(31 * change * (1 - change) * 2)))
+    at = np.array([int(c, 16) for c in token], float) - np.mean([int(c, 16) for c in token])
+    rho = (at[1:] * at[:-1]).sum() / (at * at).sum()
+    assert serial == pytest.approx(math.erfc(abs(rho + 1 / 32) * math.sqrt(32 / 2)))
+
+
+def letter_share(char):
+    return "".join(secrets.ORDINARY).count(char)
+
+
+def brute_found(texts, level):
+    """All tested tokens scored one by one, and the step-up rule by rank."""
+    runs = [(i, m.start(), m.end(), m[0]) for i, t in enumerate(texts) for m in re.finditer("[A-Za-z0-9+/_-]{16,}", t)]
+    counts = np.zeros((secrets._STATES,) * 2, np.int64)
+    for t in texts:
+        ordinary = re.sub("[A-Za-z0-9+/_-]{16,}", "\n", f"\n{t}\n")
+        states = [secrets.SYMBOLS.find(c) + 1 for c in ordinary]
+        for a, b in zip(states, states[1:]):
+            counts[a, b] += 1
+    counts[0, 0] = 0
+    null = secrets.Null(counts.ravel())
+    scored = sorted(((null.score(b - a, null.battery.statistic(t)), i, a, b) for i, a, b, t in runs), reverse=True)
+    n = max((k for k, s in enumerate(scored, 1) if math.floor(s[0] * 4) / 4 >= math.log2(len(scored) / (level * k))), default=0)
+    edge = math.floor(scored[n - 1][0] * 4) / 4 if n else math.inf
+    return {s[1:] for s in scored if s[0] >= edge}
+
+
+def test_found_spans_equal_brute_force(spark):
+    rng = random.Random(12)
+    words = [f"{a}{b}" for a in ("tion", "schen", "eau", "wor") for b in ("lor", "ing", "", "ed", "haus")]
+    alnum = dict(secrets.ENCODINGS)["alnum"]
+    random_ones = ["".join(rng.choices(alnum, k=k)) for k in (20, 32, 40, 48, 64) for _ in range(8)]
+    texts = [" ".join(rng.choices(words, k=40)) for _ in range(120)]
+    texts = [f"{t} {x} {' '.join(rng.choices(words, k=9))}" for t, x in zip(texts, random_ones + IDENTIFIERS)] + texts[60:]
+    got = {(r.doc_id, f.start, f.end) for r in secrets.scan(spark, docs(spark, texts)).collect() for f in r.found}
+    assert got == brute_found(texts, secrets.LEVEL)
+    said = {texts[i][a:b] for i, a, b in got}
+    assert not said & set(IDENTIFIERS) and len(said & set(random_ones[16:])) >= 20
 
 
 def test_false_discovery_rule_is_the_step_up(spark):
     rng = np.random.default_rng(2)
-    e = np.concatenate([rng.normal(-5, 2, 500), rng.normal(30, 5, 40)])
-    rows = spark.createDataFrame([(1, [(0, 1, float(x)) for x in e])], "doc_id long, runs array<struct<start:int,end:int,log2_e:double>>")
+    e = np.concatenate([rng.exponential(1.4, 500), rng.normal(30, 5, 40)])
+    rows = spark.createDataFrame([(1, [(0, 1, float(x)) for x in e])], "doc_id long, runs array<struct<start:int,end:int,score:double>>")
     edge = secrets.threshold(rows, 0.01)
     order = np.sort(e)[::-1]
     want = max((k for k in range(1, len(order) + 1) if order[k - 1] >= np.log2(len(e) / (0.01 * k))), default=0)
