@@ -318,3 +318,64 @@ def clip_polygon(points: Column, x0: Column, y0: Column, x1: Column, y1: Column)
     for axis, bound, sign in (("x", box[0], 1), ("y", box[1], 1), ("x", box[2], -1), ("y", box[3], -1)):
         points = cut(points, axis, bound, sign)
     return points
+
+
+def _edges(points: Column) -> Column:
+    """The edges of a ring as array of struct (p, q)."""
+    return F.zip_with(points, F.concat(F.slice(points, 2, F.greatest(F.size(points), F.lit(1))), F.slice(points, 1, 1)), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+
+
+def _side(p: Column, q: Column, r: Column) -> Column:
+    """Positive where r lies left of the line from p to q."""
+    return (q["x"] - p["x"]) * (r["y"] - p["y"]) - (q["y"] - p["y"]) * (r["x"] - p["x"])
+
+
+def intersects(left: Column, right: Column) -> Column:
+    """Whether two simple polygons (array of struct x, y) have a point in common: crossing or touching edges, or one inside the other."""
+
+    def crossing(e: Column, f: Column) -> Column:
+        a, b = _side(e["p"], e["q"], f["p"]), _side(e["p"], e["q"], f["q"])
+        c, d = _side(f["p"], f["q"], e["p"]), _side(f["p"], f["q"], e["q"])
+        meet = lambda k: (F.greatest(e["p"][k], e["q"][k]) >= F.least(f["p"][k], f["q"][k])) & (F.greatest(f["p"][k], f["q"][k]) >= F.least(e["p"][k], e["q"][k]))
+        return (F.signum(a) * F.signum(b) <= 0) & (F.signum(c) * F.signum(d) <= 0) & meet("x") & meet("y")
+
+    met = F.exists(_edges(left), lambda e: F.exists(_edges(right), lambda f: crossing(e, f)))
+    return met | inside(left[0]["x"], left[0]["y"], right) | inside(right[0]["x"], right[0]["y"], left)
+
+
+def clip_convex(points: Column, window: Column) -> Column:
+    """The part of a polygon inside a convex one, as a ring; fewer than three corners where they have no area in common."""
+    kind = "array<struct<x:double,y:double>>"
+    turn = F.signum(F.aggregate(_edges(window), F.lit(0.0), lambda s, e: s + e["p"]["x"] * e["q"]["y"] - e["q"]["x"] * e["p"]["y"]))
+
+    def cut(ring: Column, side: Column) -> Column:
+        depth = lambda r: _side(side["p"], side["q"], r) * turn
+
+        def kept(e: Column) -> Column:
+            p, q = e["p"], e["q"]
+            part = F.try_divide(depth(p), depth(p) - depth(q))
+            met = F.struct((p["x"] + (q["x"] - p["x"]) * part).alias("x"), (p["y"] + (q["y"] - p["y"]) * part).alias("y"))
+            corner = F.when(depth(p) >= 0, F.array(F.struct(p["x"].alias("x"), p["y"].alias("y"))))
+            crossed = F.when((depth(p) > 0) & (depth(q) < 0) | (depth(p) < 0) & (depth(q) > 0), F.array(met))
+            return F.concat(F.coalesce(corner, F.array().cast(kind)), F.coalesce(crossed, F.array().cast(kind)))
+
+        return F.flatten(F.transform(_edges(ring), kept)).cast(kind)
+
+    return F.aggregate(_edges(window), points.cast(kind), cut)
+
+
+def tidy(points: Column) -> Column:
+    """A ring without repeated neighbouring corners and without a closing one; empty where fewer than three are left."""
+    same = lambda p, q: (p["x"] == q["x"]) & (p["y"] == q["y"])
+    kept = F.filter(points, lambda p, k: (k == 0) | ~same(p, F.element_at(points, F.greatest(k, F.lit(1)))))
+    closed = F.coalesce((F.size(kept) > 1) & same(F.get(kept, F.lit(0)), F.try_element_at(kept, F.lit(-1))), F.lit(False))
+    ring = F.when(closed, F.slice(kept, 1, F.size(kept) - 1)).otherwise(kept)
+    return F.when(F.size(ring) >= 3, ring).otherwise(F.slice(ring, 1, 0))
+
+
+def same_polygon(left: Column, right: Column) -> Column:
+    """Whether two rings have the same corners in the same cyclic order, in either direction."""
+    n = F.size(left)
+    turned = lambda ring, k: F.concat(F.slice(ring, k + 1, n), F.slice(ring, 1, k))
+    either = lambda k: (turned(right, k) == left) | (turned(F.reverse(right), k) == left)
+    return (n == F.size(right)) & F.exists(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), either)

@@ -41,6 +41,14 @@ def overlapping(left: DataFrame, right: DataFrame, cell: float, left_id: str, ri
     return pairs.filter(touch & once).select(F.col("l_id").alias(left_id), F.col("r_id").alias(right_id))
 
 
+def overlapping_polygons(left: DataFrame, right: DataFrame, cell: float, left_id: str, right_id: str) -> DataFrame:
+    """Pairs (left_id, right_id) of polygons (points) that meet: candidates by their boxes, then the exact test."""
+    boxed = lambda rows, name: rows.select(name, "points", scalar.polygon_box(F.col("points")).alias("_b")).select(name, "points", "_b.*")
+    pairs = overlapping(boxed(left, left_id), boxed(right, right_id), cell, left_id, right_id)
+    both = pairs.join(left.select(left_id, F.col("points").alias("_l")), left_id).join(right.select(right_id, F.col("points").alias("_r")), right_id)
+    return both.filter(geometry.intersects(F.col("_l"), F.col("_r"))).select(left_id, right_id)
+
+
 def overlapping_tiers(patches: DataFrame, tiles: DataFrame, cell: float, margin: float, patch_id: str, tile_id: str) -> DataFrame:
     """Pairs by the first tier that finds any: overlap (1), overlap of the widened patch (2), all tiles (3).
 
@@ -170,6 +178,31 @@ def nearest(spark: SparkSession, pixels: DataFrame, value: str, source: tuple[in
     return grid.join(have, ["sx", "sy"]).select("col", "row", value)
 
 
+def nearest_affine(spark: SparkSession, pixels: DataFrame, value: str, source: dict, target: dict) -> DataFrame:
+    """col, row, value on a target raster, from the source pixel that holds the target pixel's centre.
+
+    source, target: left, top, a, e (pixel size, e negative), width, height. Centres outside the
+    source have no row.
+    """
+    cells = _target(spark, target["width"], target["height"])
+    at = lambda c, low, step: F.floor((float(target[low]) + (F.col(c) + 0.5) * float(target[step]) - float(source[low])) / float(source[step])).cast("int")
+    cells = cells.withColumns({"sx": at("col", "left", "a"), "sy": at("row", "top", "e")})
+    inside = F.col("sx").between(0, source["width"] - 1) & F.col("sy").between(0, source["height"] - 1)
+    have = pixels.select(F.col("col").alias("sx"), F.col("row").alias("sy"), value)
+    return cells.filter(inside).join(have, ["sx", "sy"]).select("col", "row", value)
+
+
+def global_frame(meta: DataFrame, default_epsg: int = 32633) -> DataFrame:
+    """left, top, a, e, width, height, epsg of the raster that all patches are cut from, from the meta of its file."""
+    return meta.select(F.col("c").alias("left"), F.col("f").alias("top"), "a", "e", "width", "height", F.coalesce("epsg", F.lit(default_epsg)).alias("epsg"))
+
+
+def shifted_affine(x0: Column, y0: Column, frame: dict) -> Column:
+    """Array (a, b, c, d, e, f) of a patch's affine in a projected raster: its origin moved by whole pixels."""
+    a, e = float(frame["a"]), float(frame["e"])
+    return F.array(F.lit(a), F.lit(0.0), float(frame["left"]) + x0 * a, F.lit(0.0), F.lit(e), float(frame["top"]) + y0 * e)
+
+
 def block_mean(pixels: DataFrame, value: str, rate: int, width: int, height: int) -> DataFrame:
     """col, row, value: means of rate x rate blocks; rows and columns of unfinished blocks are left out."""
     whole = pixels.filter((F.col("col") < width // rate * rate) & (F.col("row") < height // rate * rate))

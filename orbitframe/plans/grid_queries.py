@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import scalar
+from ..functions import scalar, storage
 from ..operators import geometry, grid, scenes, series
+from ..sources import arrays
 from .registry import query, table, vectors
 
 #: The proxies' rasters: lineitem's keys as pixels (at least so many), vectors as a map of 20 in a row.
@@ -295,7 +296,7 @@ def _crop_sql(step: int) -> str:
     g AS (SELECT n, col, row, x0 AS c, y0 AS r, (1 - fy) * (1 - fx) AS h FROM f UNION ALL SELECT n, col, row, x1, y0, (1 - fy) * fx FROM f
           UNION ALL SELECT n, col, row, x0, y1, fy * (1 - fx) FROM f UNION ALL SELECT n, col, row, x1, y1, fy * fx FROM f),
     e AS (SELECT * FROM k UNION ALL SELECT n, col, row, sum(h * v) FROM g JOIN m USING (n, c, r) GROUP BY n, col, row)
-    SELECT CAST(col AS INTEGER) AS col, CAST(row AS INTEGER) AS row, round(arg_max(v, n), 4) AS v FROM e GROUP BY col, row
+    SELECT CAST(col AS INTEGER) AS col, CAST(row AS INTEGER) AS row, round(CAST(CAST(arg_max(v, n) AS FLOAT) AS DOUBLE), 4) + 0.0::DOUBLE AS v FROM e GROUP BY col, row
     """
 
 
@@ -311,7 +312,7 @@ def _crop(spark, d, step):
         F.lit(10).alias("rep_width"), F.lit(10).alias("rep_height"),
     )
     target = {"left": _LEFT, "top": _TOP, "a": float(step), "e": -float(step), "width": 1200 // step, "height": (last // 4 * 210 + 210) // step}
-    return grid.stitch_crop(patches, made, target).select("col", "row", F.round(F.col("vec")[0].cast("double"), 4).alias("v"))
+    return grid.stitch_crop(patches, made, target).select("col", "row", (F.round(F.col("vec")[0].cast("double"), 4) + F.lit(0.0)).alias("v"))
 
 
 @query(_crop_sql(20))
@@ -326,6 +327,52 @@ def stitch_crop_smooth(spark, d):
     return _crop(spark, d, 15)
 
 
+@query(f"""
+    WITH {_BOXES}, b AS (SELECT patch, tile, least(l.x1, r.x1) - greatest(l.x0, r.x0) AS w, least(l.y1, r.y1) - greatest(l.y0, r.y0) AS h FROM l JOIN r ON {_TOUCH})
+    SELECT patch, tile, round(w * h, 6)::DOUBLE AS area, w * h > 0 AS solid FROM b
+""")
+def polygon_overlap(spark, d):
+    """Area that patches and tiles have in common, by the exact test and the clip of one polygon by the other."""
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    ring = F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1"))
+    patches, tiles = (rows.withColumn("points", ring) for rows in _boxes(spark, d))
+    pairs = grid.overlapping_polygons(patches.select("patch", "points"), tiles.select("tile", "points"), 64.0, "patch", "tile")
+    both = pairs.join(patches.select("patch", F.col("points").alias("p")), "patch").join(tiles.select("tile", F.col("points").alias("t")), "tile")
+    common = both.withColumn("c", geometry.tidy(geometry.clip_convex(F.col("p"), F.col("t"))))
+    area = F.when(F.size("c") >= 3, geometry.area_centroid(F.col("c"))["area"]).otherwise(0.0)
+    return common.select("patch", "tile", F.round(area, 6).alias("area"), (area > 0).alias("solid"))
+
+
+@query(f"""
+    WITH m AS ({_MAP}), g AS (SELECT CAST(k % 36 AS INTEGER) AS col, CAST(k // 36 AS INTEGER) AS row, r FROM (SELECT r, unnest(range(36 * t)) AS k FROM ({_HIGH}))),
+    c AS (SELECT col, row, r, floor((3 + (col + 0.5) * 6) / 10) AS sx, floor((2 + (row + 0.5) * 6) / 10) AS sy FROM g)
+    SELECT c.col, c.row, round(v, 6) AS v FROM c JOIN m ON m.col = sx AND m.row = sy WHERE sx BETWEEN 0 AND 19 AND sy BETWEEN 0 AND r - 1
+""")
+def nearest_affine(spark, d):
+    """A map of 10 m onto a shifted raster of 6 m."""
+    rows = _rows(spark, d)
+    source = {"left": ORIGIN_X, "top": ORIGIN_Y, "a": 10.0, "e": -10.0, "width": 20, "height": rows}
+    target = {"left": ORIGIN_X + 3, "top": ORIGIN_Y - 2, "a": 6.0, "e": -6.0, "width": 36, "height": -(-rows * 8 // 5)}
+    return grid.nearest_affine(spark, _map(spark, d), "v", source, target).withColumn("v", F.round("v", 6))
+
+
+@query("""
+    SELECT CAST(vec_id // 20 AS INTEGER) AS row, CAST(vec_id % 20 AS INTEGER) AS col, round(embedding[1]::DOUBLE, 6) AS first, round(embedding[2]::DOUBLE, 6) AS second
+    FROM embeddings WHERE vec_id // 20 BETWEEN 5 AND 19 AND vec_id % 20 BETWEEN 3 AND 14
+""")
+def array_window(spark, d):
+    """Vectors written to an array file and a window of it read back, only its bytes."""
+    rows, n = table(spark, d, "embeddings"), _rows(spark, d)
+    cells = rows.select(F.lit("map").alias("name"), F.expr("vec_id div 20").cast("int").alias("row"), (F.col("vec_id") % 20).cast("int").alias("col"), F.slice("embedding", 1, 2).alias("v"))
+    folder = storage.new_path(spark, "arrays")
+    shapes = spark.createDataFrame([("map", [n, 20, 2])], "name string, shape array<int>").withColumn("shape", F.concat(F.array(F.lit(1)), "shape"))
+    made = arrays.write_arrays(arrays.lines(cells, "name", "v", 20, 2, "float32"), folder, "map", shapes, "name", "float32").collect()
+    if made[0]["status"] != "done":
+        raise RuntimeError(made[0]["error"])
+    read = arrays.pixels(arrays.read_arrays(spark, folder, rows=(5, 20), cols=(3, 15)))
+    return read.select("row", "col", F.round(F.col("bands")[0], 6).alias("first"), F.round(F.col("bands")[1], 6).alias("second"))
+
+
 @query(f"""
     WITH {_BOXES}, e AS (SELECT tile, x0, y0, x1, y1 FROM r), xs AS (SELECT DISTINCT x0 AS x FROM e UNION SELECT DISTINCT x1 FROM e), ys AS (SELECT DISTINCT y0 AS y FROM e UNION SELECT DISTINCT y1 FROM e),
     cx AS (SELECT x AS a, lead(x) OVER (ORDER BY x) AS b FROM xs), cy AS (SELECT y AS a, lead(y) OVER (ORDER BY y) AS b FROM ys),

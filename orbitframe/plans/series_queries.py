@@ -257,7 +257,7 @@ _SCALED = ", ".join(f"({x} - {m}::DOUBLE) / ({s}::DOUBLE + 1e-9)" for x, m, s in
     s1_x AS (SELECT pixel, k, [{_SCALED}] AS b, doy FROM first WHERE sensor = 's1' AND k < 3 AND pixel IN (SELECT pixel FROM first WHERE sensor = 's1' AND k = 2)),
     {_tower("s2")}, {_tower("s1")},
     r AS (SELECT pixel, {_linear("reduce", "v")} AS y FROM (SELECT a.pixel, a.v || b.v AS v FROM s2 a JOIN s1 b ON a.pixel = b.pixel))
-    SELECT pixel, CAST(generate_subscripts(y, 1) - 1 AS INTEGER) AS place, round(unnest(y), 4) AS x FROM r
+    SELECT pixel, CAST(generate_subscripts(y, 1) - 1 AS INTEGER) AS place, round(CAST(CAST(unnest(y) AS FLOAT) AS DOUBLE), 4) + 0.0::DOUBLE AS x FROM r
 """)
 def nn_forward_toy(spark, d):
     """Two towers over each pixel's first three steps of either sensor: embedding, attention, recurrence, pooling, reduction."""
@@ -269,7 +269,7 @@ def nn_forward_toy(spark, d):
 
     both = inputs("s2", rows.filter("mask = 1")).join(inputs("s1", rows.filter("event_type in ('click', 'purchase')")), "pixel")
     made = network.represent(both, ["pixel"], network.random_weights(_TOY, 3), _TOY, dtype="float64")
-    return made.select("pixel", F.posexplode("vec").alias("place", "x")).select("pixel", "place", F.round(F.col("x").cast("double"), 4).alias("x"))
+    return made.select("pixel", F.posexplode("vec").alias("place", "x")).select("pixel", "place", (F.round(F.col("x").cast("double"), 4) + F.lit(0.0)).alias("x"))
 
 
 @query(None)

@@ -223,19 +223,20 @@ def write_rasters(made: DataFrame, folder: str, name: str, shapes: DataFrame, ke
     rows = rows.repartition(key).sortWithinPartitions(key, "t", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told: dict = {}
+        facts_of: dict = {}  # of the files whose shape was read but whose head isn't written yet
+        current: list[dict] = [{}]
 
         def seen(batch: pa.RecordBatch) -> pa.RecordBatch:
             for name_, row, data in zip(*(batch.column(c).to_pylist() for c in (key, "row", "data"))):
                 if row == -1:
-                    told["now"] = told.setdefault(name_, json.loads(data))
+                    facts_of[name_] = json.loads(data)
             return batch
 
         def named(k) -> str:
-            told["now"] = told.pop(k, None)
+            current[0] = facts_of.pop(k, {})
             return f"{folder.rstrip('/')}/{k}/{name}.tif"
 
-        head = lambda shape: raster_head(tuple(shape), np.dtype(dtype), tuple(told["now"]["affine"]), told["now"]["epsg"])
+        head = lambda shape: raster_head(tuple(shape), np.dtype(dtype), tuple(current[0]["affine"]), current[0]["epsg"])
         yield from stream_files(map(seen, batches), key, kind, named, head, np.dtype(dtype).itemsize, done)
 
     return rows.mapInArrow(run, f"{key} {kind}, path string, bytes long, status string, error string")

@@ -43,3 +43,27 @@ def test_patch_affine_is_proportional(spark):
     got = [tuple(r.a) for r in frame.select(scalar.patch_affine(F.col("x"), F.col("y"), 500, 1200, 700, (10.0, 40.0, 22.0, 47.0)).alias("a")).collect()]
     assert got[0] == pytest.approx((0.01, 10.0, -0.01, 47.0))
     assert got[1] == pytest.approx((0.01, 20.0, -0.01, 42.0))
+
+
+def test_frames_and_shifted_affines(spark):
+    meta = spark.createDataFrame([(500000.0, 5300080.0, 10.0, -10.0, 1200, 700, None)], "c double, f double, a double, e double, width int, height int, epsg int")
+    frame = grid.global_frame(meta).first()
+    assert (frame.left, frame.top, frame.width, frame.epsg) == (500000.0, 5300080.0, 1200, 32633)
+    row = spark.createDataFrame([(500, 100)], "x int, y int").select(grid.shifted_affine(F.col("x"), F.col("y"), frame.asDict()).alias("m")).first()
+    assert row.m == [10.0, 0.0, 505000.0, 0.0, -10.0, 5299080.0]
+
+
+def test_stitched_patches_without_vectors_leave_nothing(spark):
+    schema = "patch_id string, left double, top double, a double, e double, width int, height int, rep_width int, rep_height int"
+    patches = spark.createDataFrame([("p", 0.0, 40.0, 10.0, -10.0, 4, 4, 2, 2), ("q", 40.0, 40.0, 10.0, -10.0, 4, 4, 4, 4), ("far", 900.0, 40.0, 10.0, -10.0, 4, 4, 4, 4)], schema)
+    vectors = spark.createDataFrame([("p", r, c, [float(10 * r + c)]) for r in range(2) for c in range(2)], "patch_id string, row int, col int, vec array<double>")
+    target = {"left": 0.0, "top": 40.0, "a": 10.0, "e": -10.0, "width": 8, "height": 4}
+    got = {(r.col, r.row): r.vec[0] for r in grid.stitch_crop(patches, vectors, target).collect()}
+    at = lambda k: (min(int(k / 2), 1), min(int(k / 2) + 1, 1), k / 2 % 1)
+    want = {}
+    for x in range(4):
+        for y in range(4):
+            (x0, x1, fx), (y0, y1, fy) = at(x), at(y)
+            v = lambda r, c: 10 * r + c
+            want[x, y] = (1 - fy) * ((1 - fx) * v(y0, x0) + fx * v(y0, x1)) + fy * ((1 - fx) * v(y1, x0) + fx * v(y1, x1))
+    assert got == pytest.approx(want)

@@ -96,3 +96,23 @@ def test_clip_polygon(spark):
     for r in made.collect():
         areas.append(geometry.union_measure([[np.array([[p.x, p.y] for p in r.p])]])[0] if r.p else 0)
     assert areas == pytest.approx([16, 14, 0])
+
+
+def test_polygons_that_meet(spark):
+    diamond = [(5.0, 0.0), (10.0, 5.0), (5.0, 10.0), (0.0, 5.0)]
+    cases = [
+        (box(0.0, 0.0, 4.0, 4.0), box(3.0, 3.0, 6.0, 6.0), True, 1.0), (box(0.0, 0.0, 10.0, 10.0), box(4.0, 4.0, 5.0, 5.0), True, 1.0),
+        (diamond, box(0.0, 0.0, 2.0, 2.0), False, 0.0), (diamond, box(0.0, 0.0, 5.0, 5.0), True, 12.5), (box(0.0, 0.0, 1.0, 1.0), box(1.0, 0.0, 2.0, 1.0), True, 0.0),
+    ]
+    frame = spark.createDataFrame([(k, a, b) for k, (a, b, *_) in enumerate(cases)], f"k int, a {RING[7:]}, b {RING[7:]}")
+    for r in frame.select("k", geometry.intersects(F.col("a"), F.col("b")).alias("m"), geometry.tidy(geometry.clip_convex(F.col("a"), F.col("b"))).alias("c")).collect():
+        area = geometry.union_measure([[np.array([[p.x, p.y] for p in r.c])]])[0] if r.c else 0
+        assert (r.m, area) == (cases[r.k][2], pytest.approx(cases[r.k][3]))
+
+
+def test_tidy_and_equal_rings(spark):
+    ring = [(0.0, 0.0), (0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 0.0)]
+    turned = [(2.0, 2.0), (2.0, 0.0), (0.0, 0.0)]
+    frame = spark.createDataFrame([(ring, turned), ([(1.0, 1.0), (1.0, 1.0)], turned)], f"a {RING[7:]}, b {RING[7:]}")
+    rows = frame.select(F.size(geometry.tidy(F.col("a"))).alias("n"), geometry.same_polygon(geometry.tidy(F.col("a")), F.col("b")).alias("same")).collect()
+    assert [(r.n, r.same) for r in rows] == [(3, True), (0, False)]
