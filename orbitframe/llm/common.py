@@ -6,14 +6,13 @@ ignored; working columns carry the prefix ``_of_``.
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.storage import new_path, settled, written  # noqa: F401  for the operators
+
 #: A bitmap filter of up to 2**MAX_FILTER_BITS bits (16 MB) is broadcast. A larger one stays a
 #: table, and the hashes to be checked are joined to its blocks by a shuffle of their own.
 MAX_FILTER_BITS = 27
@@ -23,60 +22,6 @@ BLOCK_BITS = 15
 #: 1 / HOT_GROUPS of all rows.
 HOT_GROUPS = 10_000
 
-_written: list[tuple[SparkSession, str]] = []
-_registered = False
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset, a temporary one (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="orbitframe-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def _remove(first: int = 0) -> None:
-    gone, _written[first:] = _written[first:], []
-    for spark, path in gone:
-        try:
-            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-        except Exception:  # the session is gone; the folder's owner cleans it
-            return
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, removed when the driver's Python ends."""
-    global _registered
-    if not _registered:
-        atexit.register(_remove)
-        _registered = True
-    path = f"{shared_dir(spark)}/orbitframe-{name}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
-    return path
-
-
-def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
-    """make()'s rows as a table in the shared folder; the tables that make() wrote on its way are removed."""
-    first = len(_written)
-    made = make()
-    path = f"{shared_dir(spark)}/orbitframe-{name}-{uuid.uuid4().hex}"
-    made.write.parquet(path)
-    _remove(first)
-    _written.append((spark, path))
-    return spark.read.schema(made.schema).parquet(path)
-
-
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors."""
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The rows of Arrow batches in parts, which bound what becomes Python objects at a time."""
     for batch in batches:

@@ -32,6 +32,8 @@ BLOCK_WORDS, SLOTS = 2048, 1 << 16
 POINT_BITS = 40
 #: Cells in which a point's source is looked up, as a power of two.
 CELL_BITS = 12
+#: Binary digits of the hash that shuffles documents; its first ones are a document's bucket.
+HASH_BITS = 60
 WEIGHTS = (3, 1, 2)
 
 
@@ -69,7 +71,8 @@ def mix(spark: SparkSession, docs: DataFrame, share: float = 1.5, most: int = 2,
     first_slots: of each run through the stream that takes words of the row, the slot that takes the first.
     """
     rows = docs.select("doc_id", "source", words(clean_text()).alias("size"))
-    rows = written(spark, rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "source")), "sizes")
+    digits = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), "source")), 1, HASH_BITS // 4)
+    rows = written(spark, rows.withColumn("h", F.conv(digits, 16, 10).cast("long")), "sizes")
     sources = written(spark, targets(rows.groupBy("source").agg(F.sum("size").alias("size")), share, most, weights), "targets")
     total = sources.agg(F.floor(F.coalesce(F.sum("target"), F.lit(0.0)) + F.lit(1e-6)).cast("long")).first()[0]
     block = max(1, min(BLOCK_WORDS, total // SLOTS))
@@ -78,8 +81,7 @@ def mix(spark: SparkSession, docs: DataFrame, share: float = 1.5, most: int = 2,
 
     # Place of each document in its source's shuffled stream: buckets of the hash, then within.
     n = rows.count()
-    buckets = 1 << max(4, (n**0.5 / 4).__ceil__().bit_length())
-    rows = rows.withColumn("bucket", F.pmod("h", F.lit(buckets)))
+    rows = rows.withColumn("bucket", F.shiftright("h", HASH_BITS - max(4, (n**0.5 / 4).__ceil__().bit_length())))
     by_bucket = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     by_bucket = by_bucket.withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)))
@@ -176,3 +178,34 @@ def mixed_rows(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     taken = rows.join(times, F.col("_of_doc_id").eqNullSafe(F.col("_of_i")) & F.col("_of_source").eqNullSafe(F.col("_of_s")))
     turns = F.transform(F.sequence(F.lit(0), F.col("_of_times") - 1), lambda k: F.coalesce(F.get("_of_slots", k), F.get("_of_slots", F.lit(0))))
     return taken.select("_of_doc", F.explode(turns).alias("_of_slot")).orderBy("_of_slot").select("_of_doc.*")
+
+
+#: The rows of mix() over `documents`, with each document's first slot, as DuckDB SQL.
+SQL = f"""
+    WITH d AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+               CAST('0x' || substr(md5(concat_ws('|', '17', CAST(doc_id AS VARCHAR), source)), 1, {HASH_BITS // 4}) AS BIGINT) AS h
+        FROM documents),
+    s AS (SELECT source, sum(size) AS size, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM d GROUP BY source),
+    w AS (SELECT source, CAST(size AS BIGINT) AS size, CAST([{", ".join(map(str, WEIGHTS))}][(k - 1) % {len(WEIGHTS)} + 1] AS DOUBLE) AS weight, size * 2.0::DOUBLE AS cap FROM s),
+    l AS (SELECT *, sum(size) OVER () * 1.5::DOUBLE AS words, coalesce(sum(cap) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
+                 sum(weight) OVER () - coalesce(sum(weight) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_over
+          FROM w WINDOW f AS (ORDER BY cap / weight, source NULLS LAST)),
+    v AS (SELECT *, greatest((words - capped) / left_over, 0) AS level FROM l),
+    t AS (SELECT source, size, least(cap, coalesce(max(CASE WHEN level * weight <= cap THEN level END) OVER () * weight, cap)) AS target FROM v),
+    b AS (SELECT total, greatest(1, least({BLOCK_WORDS}, total // {SLOTS})) AS block FROM (SELECT CAST(floor(sum(target) + 1e-6) AS BIGINT) AS total FROM t)),
+    i AS (SELECT source, CAST(floor(upto / max(upto) OVER () * {float(1 << POINT_BITS)!r}::DOUBLE) AS BIGINT) AS high
+          FROM (SELECT source, sum(target) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) AS upto FROM t WHERE target > 0)),
+    j AS (SELECT source, coalesce(lag(high) OVER (ORDER BY source NULLS LAST), 0) AS low, high FROM i),
+    p AS (SELECT slot, CAST(list_sum(list_transform(range({POINT_BITS}), lambda x: ((slot >> x) & 1) << ({POINT_BITS - 1} - x))) AS BIGINT) AS point
+          FROM (SELECT unnest(range((total + block - 1) // block)) AS slot FROM b)),
+    q AS (SELECT slot, source, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS place FROM p JOIN j ON point >= low AND point < high),
+    o AS (SELECT doc_id, source, size, row_number() OVER (ORDER BY h, doc_id, size) AS number,
+                 sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS start FROM d),
+    r AS (SELECT o.*, t.size AS source_size, target, CAST(start + turn * t.size AS BIGINT) AS run FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source, (SELECT unnest([0, 1]) AS turn)),
+    x AS (SELECT number, source, run, size, unnest(range(run // block, (run + size - 1) // block + 1)) AS place FROM r, b WHERE size > 0),
+    y AS (SELECT number, slot, least(run + size, x.place * block + least(block, total - slot * block)) - greatest(run, x.place * block) AS got
+          FROM x JOIN q ON x.source IS NOT DISTINCT FROM q.source AND x.place = q.place, b),
+    z AS (SELECT number, CAST(sum(got) AS BIGINT) AS taken, min(slot) AS first_slot FROM y WHERE got > 0 GROUP BY number)
+    SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot FROM (SELECT DISTINCT doc_id, size, source_size, target, number FROM r) LEFT JOIN z USING (number)
+"""

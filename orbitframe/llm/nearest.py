@@ -292,7 +292,8 @@ def nearest(spark: SparkSession, vectors: DataFrame, k: int = 5, every: int = 50
         for batch in batches:
             yield batch.append_column("of", pa.array(shared.value[2][np.asarray(batch.column("leaf"))], pa.int32()))
 
-    asked = written(spark, asked.mapInArrow(walk, "id long, q array<double>, cell int, opened array<int>"), "asked")
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))  # the walks are the queries' work, however few bytes they are
+    asked = written(spark, asked.repartition(spread).mapInArrow(walk, "id long, q array<double>, cell int, opened array<int>"), "asked")
     index = index.mapInArrow(celled, "v array<double>, ids array<long>, leaf int, of int")
     # Tiles: a leaf larger than a cell is cut into blocks, the queries of a busy cell into parts. One row per cell.
     held = np.bincount(cell_of[[r["leaf"] for r in counted]], [r["n"] for r in counted], len(cell_of)) if counted else np.zeros(0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bpe, exact_dedup, licences, mixing, near_join, nearest, secrets, token_counts, token_files, toxicity
 
@@ -25,8 +25,9 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of every document."""
-    return mixing.mix(spark, _documents(spark, sf_dir))
+    """Words that the mix takes of every document, and the slot that takes the first."""
+    rows = mixing.mix(spark, _documents(spark, sf_dir))
+    return rows.select("doc_id", "size", "source_size", "target", "taken", F.array_min("first_slots").alias("first_slot"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_mixing": mixing.SQL,
     "op7_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256, length(coalesce(text, '')) AS n

@@ -43,11 +43,11 @@ def whole_tokens(processor) -> dict[str, int]:
 class PieceCounter:
     """Counts the tokens of texts as the piece model's library does."""
 
-    def __init__(self, model: bytes, cache_entries: int = CACHE_ENTRIES):
+    def __init__(self, model: bytes, whole: dict[str, int] | None = None, cache_entries: int = CACHE_ENTRIES):
         import sentencepiece
 
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.whole = whole_tokens(self.processor)
+        self.whole = whole_tokens(self.processor) if whole is None else whole
         self.known = dict(self.whole)
         self.room = cache_entries
 
@@ -75,10 +75,10 @@ class PieceCounter:
         return counts
 
 
-def counter(model: bytes) -> PieceCounter:
+def counter(model: bytes, whole: dict[str, int]) -> PieceCounter:
     """One counter for each worker process and model."""
     if model not in _counters:
-        _counters[model] = PieceCounter(model)
+        _counters[model] = PieceCounter(model, whole)
     return _counters[model]
 
 
@@ -86,10 +86,12 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) of every whole text."""
     ship(docs.sparkSession)
     with open(model_path, "rb") as file:  # a vocabulary file, small and fixed
-        model = docs.sparkSession.sparkContext.broadcast(file.read())
+        model = file.read()
+    # the proof is made here, once; workers get its table, as large as the vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast((model, PieceCounter(model).whole))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = counter(model.value)
+        tool = counter(*shared.value)
         for batch in small(batches):
             texts = batch.column("_of_text")
             yield pa.RecordBatch.from_arrays(

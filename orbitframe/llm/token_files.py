@@ -15,8 +15,8 @@ Ids are serialised as little-endian integers of 2 bytes where the vocabulary all
 else 4, low bytes of all ids first, then the next bytes, which compresses better.
 
 Null texts count as empty (the end id alone); rows of a repeated doc_id each count and
-are ordered by length, then content; null doc_ids come first; extra columns are ignored;
-an empty table gives empty files and an empty result.
+are ordered by a hash of the text, and may fill several shards; null doc_ids come first; extra
+columns are ignored; an empty table gives empty files and an empty result.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -96,7 +97,10 @@ def write_files(spark: SparkSession, docs: DataFrame, vocabulary_path: str, path
             data = [pack_ids(ids[k : k + step], width) for ids in ended(batch.column("_of_text")) for k in range(0, len(ids), step)]
             yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], ["data"])
 
-    texts = docs.select("doc_id", clean_text().alias("_of_text"))
+    # a row's place among those of its doc_id: null ids before others, then by the text, equal rows at random
+    place = F.xxhash64(clean_text()).bitwiseAND(~((1 << 20) - 1)).bitwiseOR(F.xxhash64(F.monotonically_increasing_id()).bitwiseAND((1 << 20) - 1))
+    place = F.shiftrightunsigned(place, 1).bitwiseOR(F.when(F.col("doc_id").isNull(), F.lit(-(2**63))).otherwise(F.lit(0)))
+    texts = docs.select("doc_id", clean_text().alias("_of_text"), place.alias("place"))
     chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
     taken = texts.join(F.broadcast(chosen), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(sample, "data binary")
     samples = sorted(taken.toArrow().column("data").to_pylist())
@@ -106,17 +110,28 @@ def write_files(spark: SparkSession, docs: DataFrame, vocabulary_path: str, path
 
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     at = [float(k) / shards for k in range(1, shards)]
-    bounds = (docs.select(F.percentile_approx("doc_id", at, 10_000).alias("b")).first()["b"] if at else None) or []
+    known = F.coalesce("doc_id", F.lit(-(2**63)))
+    bounds = (docs.select(F.percentile_approx(known, at, 10_000).alias("b")).first()["b"] if at else None) or []
+    # a doc_id that is several bounds holds as many shards: its rows are dealt by their place
+    hot: dict[int, list[int]] = {}
+    for b, n in Counter(bounds).items():
+        if n > 1:
+            parts = [float(k) / n for k in range(1, n)]
+            hot[b] = texts.filter(known == F.lit(b)).select(F.percentile_approx("place", parts, 10_000).alias("p")).first()["p"]
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, edges = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(dictionary.value)), np.array(bounds, np.int64)
         for table in blocks(batches, ENCODE_BYTES):  # large blocks, as a distinct word is looked up once for each
             batch = table.to_batches()[0]
             packed = [(n, made.compress(data)) for n, data in serialised(batch.column("_of_text"))]
-            shard = np.searchsorted(edges, batch.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False), side="left")
+            ids = batch.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+            shard = np.searchsorted(edges, ids, side="left")
+            for b, parts in hot.items():
+                own = ids == b
+                shard[own] += np.searchsorted(np.array(parts, np.int64), np.asarray(batch.column("place"))[own], side="left")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(shard, pa.int32()), pa.array([n for n, _ in packed], pa.int64()), pa.array([d for _, d in packed], pa.binary())],
-                ["doc_id", "shard", "n", "frame"],
+                [batch.column("doc_id"), batch.column("place"), pa.array(shard, pa.int32()), pa.array([n for n, _ in packed], pa.int64()), pa.array([d for _, d in packed], pa.binary())],
+                ["doc_id", "place", "shard", "n", "frame"],
             )
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,8 +161,8 @@ def write_files(spark: SparkSession, docs: DataFrame, vocabulary_path: str, path
         if rows:
             yield close()
 
-    frames = texts.mapInArrow(compress, "doc_id long, shard int, n long, frame binary").repartitionById(shards, F.col("shard"))
-    packed = frames.sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "n", "frame")
+    frames = texts.mapInArrow(compress, "doc_id long, place long, shard int, n long, frame binary").repartitionById(shards, F.col("shard"))
+    packed = frames.sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "place", "n", "frame")
     packed.mapInArrow(segments, "shard int, segment int, first_id long, last_id long, docs int, tokens long, body binary").write.parquet(f"{path}/segments")
 
 

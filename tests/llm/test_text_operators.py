@@ -309,6 +309,23 @@ def test_token_files_odd_input(spark):
     assert token_files.token_files(spark, one.limit(0), WORDS).count() == 0
 
 
+def test_token_files_of_a_hot_id(spark, tmp_path):
+    """Rows of one doc_id, or of none, that hold most of the table fill several shards, in one order."""
+    library = Tokenizer.from_file(WORDS)
+    rows = [(7, f"text number {k}") for k in range(300)] + [(7, "the same")] * 300 + [(None, "no id")] * 200 + [(-(2**63), "least")] * 5 + [(k, f"t {k}") for k in range(50)]
+    path = str(tmp_path / "files")
+    token_files.write_files(spark, spark.createDataFrame(rows, "doc_id long, text string"), WORDS, path)
+    files = spark.read.parquet(f"{path}/segments")
+    per_shard = {r.shard: r.n for r in files.groupBy("shard").agg(F.sum("docs").alias("n")).collect()}
+    assert len(per_shard) == 4 and max(per_shard.values()) < 0.6 * len(rows)
+    got = sorted(token_files.read_files(spark, path).collect(), key=lambda r: r.start)
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got[:-1])]).tolist()
+    order = [(r.doc_id is not None, r.doc_id or 0) for r in got]
+    assert order == sorted(order)
+    crc = lambda t: zlib.crc32(np.array(library.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes())
+    assert sorted((str(r.doc_id), r.ids_crc32) for r in got) == sorted((str(i), crc(t)) for i, t in rows)
+
+
 def test_segment_refuses_another_dictionary():
     body = token_files.pack_segment([(1, 0, 2, b"abc")], 2, b"x" * 32, 0)
     with pytest.raises(ValueError):
