@@ -35,15 +35,14 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.workers import ship
-from .common import clean_text
+from .common import clean_text, ship_texts, trimmed
 
 #: Bytes of text in a block, at least one document.
 BLOCK_BYTES = 32 << 20
 #: Ids that are decoded and hashed at a time, at least one document.
 CHUNK_IDS = 1 << 20
 #: Entries of a worker's memory of pre-tokens; a full one starts anew.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 300_000
 #: Fixed value: the splitter's pattern of the vocabulary file that this module supports.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters for which the short paths below equal the library (tests compare all of them):
@@ -235,6 +234,7 @@ def _split(buckets: int, block_bytes: int):
 
         press = zstandard.ZstdCompressor(level=3).compress
         task = TaskContext.get().partitionId() << 32
+        _encoders.clear()  # not needed here
         for k, table in enumerate(blocks(batches, block_bytes)):
             texts = table.column("_of_text").combine_chunks()
             texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
@@ -288,6 +288,7 @@ def _join(vocabulary, digest: bool):
 
         open_ = zstandard.ZstdDecompressor().decompress
         pieces = pa.array(piece_table(vocabulary.value)) if digest else None
+        _encoders.clear()  # not needed here
         block, held, ids = None, None, []
         for batch in batches:
             for row in range(len(batch)):
@@ -349,16 +350,17 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary_path: str, digest: b
 
     digest=True gives doc_id, n_tokens, ids_sha256, decoded_sha256 and leaves the ids out.
     """
-    ship(spark)
+    ship_texts(spark)
     vocabulary = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # blocks are numbered by task and place, so those of neighbouring tasks go to different partitions
     spread = F.pmod(F.shiftright("block", 32) + F.col("block").bitwiseAND((1 << 32) - 1) * 7919, F.lit(buckets)).cast("int")
-    rows = docs.select("doc_id", clean_text().alias("_of_text")).mapInArrow(_split(buckets, block_bytes), ROWS)
+    split, words, join = _split(buckets, block_bytes), _encode_words(vocabulary), _join(vocabulary, digest)
+    rows = docs.select("doc_id", clean_text().alias("_of_text")).mapInArrow(lambda batches: trimmed(split(batches)), ROWS)
     rows = rows.repartitionById(buckets, F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(spread))
-    rows = rows.mapInArrow(_encode_words(vocabulary), ROWS).repartitionById(buckets, spread).sortWithinPartitions("block", "bucket")
+    rows = rows.mapInArrow(lambda batches: trimmed(words(batches)), ROWS).repartitionById(buckets, spread).sortWithinPartitions("block", "bucket")
     schema = "doc_id long, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>")
-    return rows.mapInArrow(_join(vocabulary, digest), schema)
+    return rows.mapInArrow(lambda batches: trimmed(join(batches)), schema)
 
 
 def decode(spark: SparkSession, encoded: DataFrame, vocabulary_path: str) -> DataFrame:
@@ -366,7 +368,7 @@ def decode(spark: SparkSession, encoded: DataFrame, vocabulary_path: str) -> Dat
 
     Null ids count as none; an id outside the vocabulary fails the job.
     """
-    ship(spark)
+    ship_texts(spark)
     source = spark.sparkContext.broadcast(piece_table(read_vocabulary(vocabulary_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

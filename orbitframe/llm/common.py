@@ -6,12 +6,14 @@ ignored; working columns carry the prefix ``_of_``.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.storage import new_path, settled, written  # noqa: F401  for the operators
+from ..functions.workers import ship
 
 #: A bitmap filter of up to 2**MAX_FILTER_BITS bits (16 MB) is broadcast. A larger one stays a
 #: table, and the hashes to be checked are joined to its blocks by a shuffle of their own.
@@ -22,6 +24,32 @@ BLOCK_BITS = 15
 #: 1 / HOT_GROUPS of all rows.
 HOT_GROUPS = 10_000
 
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 1000
+
+
+def ship_texts(spark: SparkSession) -> None:
+    """Sends the package to the executors, and bounds the Arrow batches of a session that leaves them at Spark's 10,000 rows.
+
+    A batch of that many texts would take tens of megabytes, several times over, in each of an
+    executor's tasks. The setting stays, as plans are lazy and read it when they run; a session's own choice holds.
+    """
+    ship(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) in (0, 10_000):
+        spark.conf.set(key, BATCH_ROWS)
+
+
+def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; when they are through, the worker gives its free memory back to the system."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        return
+
+
 def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The rows of Arrow batches in parts, which bound what becomes Python objects at a time."""
     for batch in batches:

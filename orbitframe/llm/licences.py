@@ -30,8 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.workers import ship
-from .common import clean_text, small
+from .common import clean_text, ship_texts, small
 
 WINDOW, CONFIRM, CONTENT_WORDS = 64, 0.7, 3
 FALSE_SHARE, VARIANTS, ROUNDS = 0.002, 40, 400
@@ -323,7 +322,7 @@ def notices(text: str, model: Classifier) -> list[tuple[int, int, str, float]]:
 
 def licences(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, n_spans, families (distinct, sorted, comma-joined), spans (family:start:end, comma-joined; code points)."""
-    ship(spark)
+    ship_texts(spark)
     shared = spark.sparkContext.broadcast(fit())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

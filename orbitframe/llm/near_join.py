@@ -34,9 +34,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.workers import ship
 from . import common
-from .common import bitmap_filter, clean_text, drop_ids, filter_bits, join_groups, small, with_maybe, written
+from .common import bitmap_filter, clean_text, drop_ids, filter_bits, join_groups, ship_texts, small, trimmed, with_maybe, written
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
 COORDINATES, ROUGH = 64, 0.6
@@ -167,7 +166,7 @@ def features(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 ["doc_id", "n", "fp1", "fp2", "sketch"],
             )
 
-    return docs.select("doc_id", clean_text().alias("_of_text")).mapInArrow(run, "doc_id long, n int, fp1 long, fp2 long, sketch array<int>")
+    return docs.select("doc_id", clean_text().alias("_of_text")).mapInArrow(lambda batches: trimmed(run(batches)), "doc_id long, n int, fp1 long, fp2 long, sketch array<int>")
 
 
 def _stars(reps: np.ndarray, sketches: np.ndarray) -> list[tuple[int, int]]:
@@ -300,7 +299,7 @@ def exact_links(spark: SparkSession, docs: DataFrame, members: DataFrame, thresh
     tile, and b is a's class where the label has only this tile, else null. edge true: (a, b)
     is an edge of a spanning forest of the links of one of several tiles.
     """
-    ship(spark)
+    ship_texts(spark)
     sizes = members.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
     members = written(spark, members.join(sizes, "label").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "members")
     bits = filter_bits(members.count())
@@ -350,7 +349,7 @@ def exact_links(spark: SparkSession, docs: DataFrame, members: DataFrame, thresh
         if len(held) > 1:
             yield close()
 
-    return rows.repartition(*key).sortWithinPartitions(*key, "rep", "fp1", "fp2").mapInArrow(run, "a long, b long, links long, edge boolean")
+    return rows.repartition(*key).sortWithinPartitions(*key, "rep", "fp1", "fp2").mapInArrow(lambda batches: trimmed(run(batches)), "a long, b long, links long, edge boolean")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -359,7 +358,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, threshold: float = THRESH
     n_links: other rows of similarity at least the threshold, copies included.
     copies: rows with the same set of shingles, itself included.
     """
-    ship(spark)
+    ship_texts(spark)
     rows = written(spark, features(spark, docs), "features")
     some = rows.filter("n > 0 and doc_id is not null")
     groups = some.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("sketch").alias("sketch"))

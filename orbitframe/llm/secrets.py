@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import bisect
 import math
+import operator
 import random
 import re
 import statistics
@@ -39,8 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.workers import ship
-from .common import clean_text, small, written
+from .common import clean_text, ship_texts, small, written
 
 #: The base patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -116,8 +116,8 @@ def chi_squared_tail(x: float, df: int) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def _kind(char: str) -> str:
-    return "d" if char.isdigit() else "l" if char.islower() else "u" if char.isupper() else "s"
+#: Kinds of characters: lower, upper, digit, sign.
+KIND_OF = {ord(c): "d" if c.isdigit() else "l" if c.islower() else "u" if c.isupper() else "s" for c in SYMBOLS}
 
 
 class Battery:
@@ -130,7 +130,7 @@ class Battery:
         for name, alphabet in ENCODINGS:
             ranked = sorted(alphabet, key=lambda c: (-often[c], alphabet.index(c)))
             self.place[name] = {c: (i, ranked.index(c)) for i, c in enumerate(alphabet)}
-            shares = [sum(_kind(c) == k for c in alphabet) / len(alphabet) for k in "luds"]
+            shares = [alphabet.translate(KIND_OF).count(k) / len(alphabet) for k in "luds"]
             self.kinds[name] = None if max(shares) == 1 else 1 - sum(s * s for s in shares)
 
     def tests(self, token: str) -> tuple[str, float, float, float]:
@@ -145,9 +145,9 @@ class Battery:
         seen = np.bincount(edges[rank.astype(int)], minlength=parts)
         uniform = chi_squared_tail(float(((seen - n * share) ** 2 / (n * share)).sum()), parts - 1)
         change = self.kinds[name]
-        marks = [_kind(c) for c in token] if change else (at >= size / 2).tolist()
+        marks = token.translate(KIND_OF) if change else (at >= size / 2).tolist()
         change = change or 0.5
-        changes = sum(a != b for a, b in zip(marks, marks[1:]))
+        changes = sum(map(operator.ne, marks, marks[1:]))
         run_test = math.erfc(abs(changes - (n - 1) * change) / math.sqrt((n - 1) * change * (1 - change)) / math.sqrt(2))
         away = at - at.mean()
         power = float((away * away).sum())
@@ -187,7 +187,7 @@ class Null:
         pairs = pairs / max(pairs.sum(), 1) + ordinary / ordinary.sum()  # the corpus and the list count alike
         pairs = pairs.reshape(_STATES, _STATES)
         self.battery = Battery(pairs[:, 1:].sum(axis=0))
-        self.chain = np.cumsum(pairs / np.maximum(pairs.sum(axis=1, keepdims=True), 1e-300), axis=1)
+        self.chain = np.cumsum(pairs / np.maximum(pairs.sum(axis=1, keepdims=True), 1e-300), axis=1).tolist()
         rng = random.Random(seed)
         self.facts = []
         for length in LENGTHS:
@@ -197,7 +197,7 @@ class Null:
     def word(self, rng: random.Random) -> str:
         out, state = [], 0
         while len(out) < 12:
-            state = int(np.searchsorted(self.chain[state], rng.random()))
+            state = bisect.bisect_left(self.chain[state], rng.random())
             if not 0 < state < _STATES:
                 break
             out.append(SYMBOLS[state - 1])
@@ -231,7 +231,7 @@ def scan(spark: SparkSession, docs: DataFrame, level: float = LEVEL) -> DataFram
 
     found holds what the false-discovery rule lets through over the whole corpus.
     """
-    ship(spark)
+    ship_texts(spark)
     span = "struct<start:int,end:int,{}>"
     base_type, token_type, run_type = span.format("kind:string"), span.format("token:string"), span.format("score:double")
     span_arrow = lambda name, kind: pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), (name, kind)]))

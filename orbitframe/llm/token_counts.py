@@ -21,8 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.workers import ship
-from .common import clean_text, small
+from .common import clean_text, ship_texts, small
 
 #: Entries of a worker's cache of merged pre-tokens; when full it starts anew.
 CACHE_ENTRIES = 400_000
@@ -84,7 +83,7 @@ def counter(model: bytes, whole: dict[str, int]) -> PieceCounter:
 
 def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) of every whole text."""
-    ship(docs.sparkSession)
+    ship_texts(docs.sparkSession)
     with open(model_path, "rb") as file:  # a vocabulary file, small and fixed
         model = file.read()
     # the proof is made here, once; workers get its table, as large as the vocabulary

@@ -31,9 +31,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..functions.workers import ship
 from .bpe import blocks, encoder, read_vocabulary
-from .common import clean_text, new_path
+from .common import clean_text, new_path, ship_texts, trimmed
 
 SAMPLE_ROWS = 1000
 #: Bytes of one piece of a document in the training sample, and of the dictionary.
@@ -79,7 +78,7 @@ def write_files(spark: SparkSession, docs: DataFrame, vocabulary_path: str, path
     """Writes the ids of every whole text under path: segments/ and dictionary/."""
     import zstandard
 
-    ship(spark)
+    ship_texts(spark)
     vocabulary = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     width = 2 if encoder(vocabulary.value).tokenizer.get_vocab_size() <= 1 << 16 else 4
 
@@ -161,7 +160,7 @@ def write_files(spark: SparkSession, docs: DataFrame, vocabulary_path: str, path
         if rows:
             yield close()
 
-    frames = texts.mapInArrow(compress, "doc_id long, place long, shard int, n long, frame binary").repartitionById(shards, F.col("shard"))
+    frames = texts.mapInArrow(lambda batches: trimmed(compress(batches)), "doc_id long, place long, shard int, n long, frame binary").repartitionById(shards, F.col("shard"))
     packed = frames.sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "place", "n", "frame")
     packed.mapInArrow(segments, "shard int, segment int, first_id long, last_id long, docs int, tokens long, body binary").write.parquet(f"{path}/segments")
 
@@ -191,7 +190,7 @@ def open_segment(body: bytes, digest: bytes) -> tuple[int, int, np.ndarray, memo
 def _reader(spark: SparkSession, path: str):
     import zstandard
 
-    ship(spark)
+    ship_texts(spark)
     row = spark.read.parquet(f"{path}/dictionary").first()
     digest, data = bytes(row["sha256"]), bytes(row["data"])
     if hashlib.sha256(data).digest() != digest:

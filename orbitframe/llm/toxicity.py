@@ -28,8 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.workers import ship
-from .common import clean_text, small, written
+from .common import clean_text, ship_texts, small, trimmed, written
 
 #: Bound of the rows the machine is fitted on.
 TRAIN_ROWS = 16_000
@@ -163,7 +162,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = T
     Spark counts the terms and chooses those that take part; the machine is fitted in one
     executor task over the rows' chosen terms, and only it comes to the driver.
     """
-    ship(spark)
+    ship_texts(spark)
     known = labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("_of_y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
@@ -196,7 +195,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = T
         model.index = np.zeros(0, np.int32)  # the driver has it
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    model = pickle.loads(found.mapInArrow(places, "doc_id long, _of_y double, at binary").repartition(1).mapInArrow(learn, "model binary").first()["model"])
+    model = pickle.loads(found.mapInArrow(places, "doc_id long, _of_y double, at binary").repartition(1).mapInArrow(lambda batches: trimmed(learn(batches)), "model binary").first()["model"])
     model.index = index if facts["n"] else np.full(BUCKETS, -1, np.int32)
     return model
 
@@ -224,7 +223,7 @@ class Scorer:
 
 def score(spark: SparkSession, docs: DataFrame, model: Machine) -> DataFrame:
     """doc_id, held_out, score, predicted of every whole text."""
-    ship(spark)
+    ship_texts(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +232,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Machine) -> DataFrame:
             found = tool.scores(batch.column("_of_text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.float64())], ["doc_id", "score"])
 
-    scored = docs.select("doc_id", clean_text().alias("_of_text")).mapInArrow(run, "doc_id long, score double")
+    scored = docs.select("doc_id", clean_text().alias("_of_text")).mapInArrow(lambda batches: trimmed(run(batches)), "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -257,4 +256,4 @@ def clean_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataF
             found = tool.scores([t or "" for t in batch.column(at).to_pylist()])
             yield batch.filter(pa.array(found < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lambda batches: trimmed(run(batches)), docs.schema)
