@@ -102,17 +102,17 @@ def union_measure(polygons: list[list[np.ndarray]]) -> tuple[float, float, float
                 levels |= {ay, by}
                 if ay != by:
                     parts.append((min(ay, by), max(ay, by), ax, ay, (bx - ax) / (by - ay), number))
-    for i, (alow, ahigh, ax, ay, aslope, _) in enumerate(parts):
-        for blow, bhigh, bx, by, bslope, _ in parts[i + 1 :]:
-            if aslope != bslope:
-                y = (bx - ax + aslope * ay - bslope * by) / (aslope - bslope)
-                if max(alow, blow) < y < min(ahigh, bhigh):
-                    levels.add(y)
+    bottoms, tops, ex, ey, slope, _ = np.array(parts, float).reshape(-1, 6).T
+    for i in range(len(parts)):  # where this edge crosses the later ones
+        apart = slope[i] - slope[i + 1 :]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            y = (ex[i + 1 :] - ex[i] + slope[i] * ey[i] - slope[i + 1 :] * ey[i + 1 :]) / apart
+        levels.update(y[(apart != 0) & (y > np.maximum(bottoms[i], bottoms[i + 1 :])) & (y < np.minimum(tops[i], tops[i + 1 :]))].tolist())
     area = sx = sy = 0.0
     order = sorted(levels)
     for low, high in zip(order, order[1:]):
         at = lambda e, y: e[2] + (y - e[3]) * e[4]
-        edges = sorted((e for e in parts if e[0] <= low and e[1] >= high), key=lambda e: (at(e, (low + high) / 2), e[5]))
+        edges = sorted((parts[k] for k in np.flatnonzero((bottoms <= low) & (tops >= high))), key=lambda e: (at(e, (low + high) / 2), e[5]))
         odd: set[int] = set()
         for left, right in zip(edges, edges[1:]):
             odd ^= {left[5]}

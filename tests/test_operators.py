@@ -160,3 +160,53 @@ def test_represent_in_spark_equals_numpy(spark):
     got = {r.id: r.vec for r in network.represent(frame, ["id"], w, config).collect()}
     want = network.forward(s2, s1, w, config)
     assert all(np.allclose(got[i], want[i], atol=1e-5) for i in range(6))
+
+
+def test_checkpoints_are_strict():
+    config = network.Config(optical_bands=2, radar_bands=2, latent=4, heads=2, layers=2, hidden=16, steps=3)
+    w = network.random_weights(config, 4)
+    names = network.saved_names(config)
+    assert sorted(names.values()) == sorted(w)
+    assert names["s2_backbone.transformer_encoder.layers.1.self_attn.in_proj_weight"] == "s2.layer1.in.weight"
+    assert names["s1_backbone.attn_pool.temporal_context.bias_hh_l0"] == "s1.gru_h.bias"
+    state = {f"_orig_mod.{theirs}": w[ours] for theirs, ours in names.items()} | {"projector.net.0.weight": np.zeros(3)}
+    for alias in ("model_state", "model_state_dict"):
+        made = network.from_checkpoint({"epoch": 3, alias: state}, config)
+        assert made.keys() == w.keys() and all((made[k] == w[k]).all() for k in w)
+    with pytest.raises(KeyError, match="no model state"):
+        network.from_checkpoint({"state": state}, config)
+    with pytest.raises(KeyError, match="missing weights"):
+        network.from_checkpoint({"model_state": dict(list(state.items())[1:])}, config)
+    with pytest.raises(KeyError, match="unknown weights"):
+        network.from_checkpoint({"model_state": state | {"extra.weight": np.zeros(1)}}, config)
+    with pytest.raises(ValueError, match="other shapes"):
+        network.from_checkpoint({"model_state": state | {"_orig_mod.dim_reducer.0.bias": np.zeros(3)}}, config)
+
+
+def test_sizes_from_files(tmp_path):
+    (tmp_path / "a.json").write_text('{"latent": 16, "layers": 2}')
+    (tmp_path / "b.json").write_text('{"layers": 3}')
+    config = network.Config.load(str(tmp_path / "a.json"), str(tmp_path / "b.json"), hidden=64, heads=None)
+    assert (config.latent, config.layers, config.hidden, config.heads) == (16, 3, 64, 8)
+    with pytest.raises(TypeError):
+        network.Config.load(str(tmp_path / "a.json"), unknown=1)
+
+
+def test_reduction_at_full_size_equals_the_expression(spark):
+    rng = np.random.default_rng(3)
+    weights, bias = rng.normal(size=(5, 12)), rng.normal(size=5)
+    rows = spark.createDataFrame([(i, rng.normal(size=12).tolist()) for i in range(20)], "id long, v array<double>")
+    left = {r.id: r.vec for r in network.reduce_vectors(rows, ["id"], "v", weights, bias).collect()}
+    right = {r.id: r.vec for r in rows.select("id", series.reduce_vector(F.col("v"), weights.tolist(), bias.tolist()).alias("vec")).collect()}
+    assert all(np.allclose(left[i], right[i]) for i in range(20))
+
+
+def test_unused_layers_of_the_model():
+    rng = np.random.default_rng(8)
+    x, w = rng.normal(size=(2, 4, 6)), rng.normal(size=6)
+    scores = np.exp(x[0] @ w + 0.3)
+    assert np.allclose(network.attention_pooling(x, w, 0.3)[0], (scores[:, None] * x[0]).sum(axis=0) / scores.sum())
+    days, rate, phase, weight, bias = np.array([[73.0, 146.0]]), np.array([1.0, 2.0]), rng.normal(size=4), rng.normal(size=(3, 4)), rng.normal(size=3)
+    turn = 2 * np.pi * 0.4
+    features = [np.sin(turn + phase[0]), np.sin(2 * turn + phase[1]), np.cos(turn + phase[2]), np.cos(2 * turn + phase[3])]
+    assert np.allclose(network.fourier_days(days, rate, phase, weight, bias)[0, 1], weight @ features + bias)
