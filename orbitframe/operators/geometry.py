@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -325,6 +326,11 @@ def _edges(points: Column) -> Column:
     return F.zip_with(points, F.concat(F.slice(points, 2, F.greatest(F.size(points), F.lit(1))), F.slice(points, 1, 1)), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, however often use names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _side(p: Column, q: Column, r: Column) -> Column:
     """Positive where r lies left of the line from p to q."""
     return (q["x"] - p["x"]) * (r["y"] - p["y"]) - (q["y"] - p["y"]) * (r["x"] - p["x"])
@@ -339,7 +345,7 @@ def intersects(left: Column, right: Column) -> Column:
         meet = lambda k: (F.greatest(e["p"][k], e["q"][k]) >= F.least(f["p"][k], f["q"][k])) & (F.greatest(f["p"][k], f["q"][k]) >= F.least(e["p"][k], e["q"][k]))
         return (F.signum(a) * F.signum(b) <= 0) & (F.signum(c) * F.signum(d) <= 0) & meet("x") & meet("y")
 
-    met = F.exists(_edges(left), lambda e: F.exists(_edges(right), lambda f: crossing(e, f)))
+    met = _let(_edges(right), lambda edges: F.exists(_edges(left), lambda e: F.exists(edges, lambda f: crossing(e, f))))
     return met | inside(left[0]["x"], left[0]["y"], right) | inside(right[0]["x"], right[0]["y"], left)
 
 
@@ -349,19 +355,20 @@ def clip_convex(points: Column, window: Column) -> Column:
     turn = F.signum(F.aggregate(_edges(window), F.lit(0.0), lambda s, e: s + e["p"]["x"] * e["q"]["y"] - e["q"]["x"] * e["p"]["y"]))
 
     def cut(ring: Column, side: Column) -> Column:
-        depth = lambda r: _side(side["p"], side["q"], r) * turn
+        deep = F.transform(ring, lambda r: F.struct(r["x"].alias("x"), r["y"].alias("y"), (_side(side["p"], side["q"], r) * side["turn"]).alias("depth")))
 
         def kept(e: Column) -> Column:
             p, q = e["p"], e["q"]
-            part = F.try_divide(depth(p), depth(p) - depth(q))
+            part = F.try_divide(p["depth"], p["depth"] - q["depth"])
             met = F.struct((p["x"] + (q["x"] - p["x"]) * part).alias("x"), (p["y"] + (q["y"] - p["y"]) * part).alias("y"))
-            corner = F.when(depth(p) >= 0, F.array(F.struct(p["x"].alias("x"), p["y"].alias("y"))))
-            crossed = F.when((depth(p) > 0) & (depth(q) < 0) | (depth(p) < 0) & (depth(q) > 0), F.array(met))
+            corner = F.when(p["depth"] >= 0, F.array(F.struct(p["x"].alias("x"), p["y"].alias("y"))))
+            crossed = F.when((p["depth"] > 0) & (q["depth"] < 0) | (p["depth"] < 0) & (q["depth"] > 0), F.array(met))
             return F.concat(F.coalesce(corner, F.array().cast(kind)), F.coalesce(crossed, F.array().cast(kind)))
 
-        return F.flatten(F.transform(_edges(ring), kept)).cast(kind)
+        return F.flatten(_let(deep, lambda corners: F.transform(_edges(corners), kept))).cast(kind)
 
-    return F.aggregate(_edges(window), points.cast(kind), cut)
+    sides = _let(turn, lambda sign: F.transform(_edges(window), lambda e: F.struct(e["p"].alias("p"), e["q"].alias("q"), sign.alias("turn"))))
+    return F.aggregate(sides, points.cast(kind), cut)
 
 
 def tidy(points: Column) -> Column:

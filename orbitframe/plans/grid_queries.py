@@ -336,11 +336,13 @@ def polygon_overlap(spark, d):
     corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
     ring = F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1"))
     patches, tiles = (rows.withColumn("points", ring) for rows in _boxes(spark, d))
-    pairs = grid.overlapping_polygons(patches.select("patch", "points"), tiles.select("tile", "points"), 64.0, "patch", "tile")
-    both = pairs.join(patches.select("patch", F.col("points").alias("p")), "patch").join(tiles.select("tile", F.col("points").alias("t")), "tile")
-    common = both.withColumn("c", geometry.tidy(geometry.clip_convex(F.col("p"), F.col("t"))))
-    area = F.when(F.size("c") >= 3, geometry.area_centroid(F.col("c"))["area"]).otherwise(0.0)
-    return common.select("patch", "tile", F.round(area, 6).alias("area"), (area > 0).alias("solid"))
+
+    def common(pairs):
+        clipped = pairs.withColumn("c", geometry.clip_convex(F.col("p"), F.col("q"))).withColumn("c", geometry.tidy(F.col("c")))
+        area = F.when(F.size("c") >= 3, geometry.area_centroid(F.col("c"))["area"]).otherwise(0.0)
+        return clipped.withColumns({"area": F.round(area, 6), "solid": area > 0}).drop("c")
+
+    return grid.overlapping_polygons(patches.select("patch", "points"), tiles.select("tile", "points"), 64.0, "patch", "tile", common)
 
 
 @query(f"""
